@@ -1,0 +1,6 @@
+"""All oracle texts, by key."""
+
+from listenlab.plans.oracle_marts import ORACLE as _MARTS
+
+ORACLE: dict[str, str] = {}
+ORACLE.update(_MARTS)
