@@ -17,15 +17,11 @@ exchange on (uid, slice) feeds the window; no join and no per-user task.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from listenlab.functions.measures import cnt
-from listenlab.settings import DEFAULT, EVENT_TYPES, Settings
-
-REQUIRED = ("uid", "item_id", "timestamp", "is_organic", "event_type")
+from listenlab.settings import DEFAULT, Settings
 
 STAGE_COLUMNS = (
     "uid", "item_id", "timestamp", "day_idx", "is_organic", "event_type",
@@ -34,51 +30,6 @@ STAGE_COLUMNS = (
 )
 
 
-def _bool_sum(pred: Column) -> Column:
-    # sum(boolean) semantics: NULL on empty input, NULL predicates skipped.
-    return F.sum(pred.cast("int"))
-
-
-def required_null(*cols: str) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
-
-
-def source_profile(source: DataFrame) -> DataFrame:
-    """Eleven measures of the raw source in one pass (one row)."""
-    is_listen = F.col("event_type") == "listen"
-    return source.agg(
-        cnt().alias("events"),
-        F.count_distinct("uid").alias("users"),
-        F.count_distinct("item_id").alias("items"),
-        F.min("timestamp").alias("min_timestamp"),
-        F.max("timestamp").alias("max_timestamp"),
-        _bool_sum(F.col("timestamp") % 5 != 0).cast("bigint").alias("timestamps_not_multiple_of_5"),
-        _bool_sum(required_null(*REQUIRED)).cast("bigint").alias("required_nulls"),
-        _bool_sum(~F.col("is_organic").isin(0, 1)).cast("bigint").alias("invalid_is_organic"),
-        _bool_sum(~F.col("event_type").isin(*EVENT_TYPES)).cast("bigint").alias("invalid_event_type"),
-        _bool_sum(is_listen).cast("bigint").alias("listens"),
-        _bool_sum(~is_listen & (F.col("played_ratio_pct").isNotNull()
-                                | F.col("track_length_seconds").isNotNull()))
-        .cast("bigint").alias("non_listen_with_play_fields"),
-    )
-
-
-def source_gate(source: DataFrame) -> DataFrame:
-    """One row: the two gate counts and ``ok``. NULL counts (empty source)
-    fail the gate, as do counts above zero."""
-    profile = source_profile(source)
-    ok = F.coalesce((F.col("required_nulls") == 0) & (F.col("invalid_event_type") == 0), F.lit(False))
-    return profile.select("events", "required_nulls", "invalid_event_type", ok.alias("ok"))
-
-
-def check_gate(source: DataFrame) -> dict:
-    """Run the gate; raise with the profile when it fails."""
-    row = source_profile(source).first().asDict()
-    if row["required_nulls"] != 0 or row["invalid_event_type"] != 0:
-        raise ValueError(f"source gate failed: {row}")
-    return row
-
-
 def with_flags(source: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Day index and the row-level listening flags (three-valued where the
     source is NULL: a listen with NULL ratio has NULL Listen+/replay)."""
@@ -155,7 +106,10 @@ def session_starts(stage: DataFrame) -> DataFrame:
 
 
 def stage_reconcile(source: DataFrame, stage: DataFrame) -> DataFrame:
-    """Stage rows must equal source rows (one row: both counts and ``ok``)."""
-    s = source.agg(cnt().alias("source_rows"))
-    t = stage.agg(cnt().alias("stage_rows"))
-    return s.crossJoin(t).withColumn("ok", F.col("source_rows") == F.col("stage_rows"))
+    """Stage rows must equal source rows (one row: both counts and ``ok``).
+    The source count enters as a scalar subquery."""
+    source_rows = source.agg(cnt()).scalar()
+    return stage.agg(cnt().alias("stage_rows")).select(
+        source_rows.alias("source_rows"), "stage_rows",
+        (source_rows == F.col("stage_rows")).alias("ok"),
+    )

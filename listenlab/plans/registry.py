@@ -1,6 +1,6 @@
 """Named queries for the driver: each takes (spark, sf_dir) and returns a
 DataFrame over the test tables (``events`` mapped to the interaction
-contract, then the library function)."""
+contract, then the library function). Nothing here subsets the input."""
 
 from __future__ import annotations
 
@@ -8,18 +8,71 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from listenlab.operators import product, stage as stage_ops
+from listenlab.operators import funnel, product, retention, source, stage as stage_ops, track, user
+from listenlab.operators.base import user_day_base
 from listenlab.sources import load_fixture
 
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-def _stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage_ops.stage_events(load_fixture(spark, sf_dir))
 
+def register(name: str):
+    def deco(fn):
+        QUERIES[name] = fn
+        return fn
+    return deco
 
-def q_mart_product_day(spark, sf_dir):
-    return product.product_day(_stage(spark, sf_dir))
 
+def _src(spark, sf_dir) -> DataFrame:
+    return load_fixture(spark, sf_dir)
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "mart_product_day": q_mart_product_day,
-}
+
+def _stage(spark, sf_dir) -> DataFrame:
+    return stage_ops.stage_events(_src(spark, sf_dir))
+
+
+def _base(spark, sf_dir) -> DataFrame:
+    return user_day_base(_stage(spark, sf_dir))
+
+
+# --- source -----------------------------------------------------------------
+register("source_profile")(lambda spark, d: source.source_profile(_src(spark, d)))
+register("source_gate")(lambda spark, d: source.source_gate(_src(spark, d)))
+register("source_quality")(lambda spark, d: source.source_quality(_src(spark, d)))
+register("event_type_counts")(lambda spark, d: source.event_type_counts(_src(spark, d)))
+register("duplicate_rows")(lambda spark, d: source.duplicate_rows(_src(spark, d)))
+register("source_manifest")(
+    lambda spark, d: source.source_manifest(spark.read.parquet(f"{d}/events.parquet")))
+
+
+# --- stage ------------------------------------------------------------------
+@register("stage_events")
+def _q_stage_events(spark, d):
+    return _stage(spark, d).drop("is_session_start")
+
+
+register("session_starts")(lambda spark, d: stage_ops.session_starts(_stage(spark, d)))
+
+
+@register("stage_reconcile")
+def _q_stage_reconcile(spark, d):
+    src = _src(spark, d)
+    return stage_ops.stage_reconcile(src, stage_ops.stage_events(src))
+
+
+# --- marts and their steps --------------------------------------------------
+register("mart_product_day")(lambda spark, d: product.product_day(_stage(spark, d)))
+register("day_user_flags")(lambda spark, d: product.day_user_flags(_base(spark, d)))
+register("day_reactions")(
+    lambda spark, d: product.day_reactions(product.day_user_flags(_base(spark, d))))
+register("funnel_totals")(lambda spark, d: funnel.funnel_totals(_stage(spark, d)))
+register("mart_recommendation_funnel")(lambda spark, d: funnel.recommendation_funnel(_stage(spark, d)))
+register("mart_user")(lambda spark, d: user.user_mart(_stage(spark, d)))
+register("mart_user_day")(lambda spark, d: user.user_day(_stage(spark, d)))
+register("mart_track")(lambda spark, d: track.track_mart(_stage(spark, d)))
+register("mart_retention_cohort")(lambda spark, d: retention.retention_cohort(_stage(spark, d)))
+register("cohort_first_days")(lambda spark, d: retention.cohort_first_days(_base(spark, d)))
+register("cohort_first_day_metrics")(lambda spark, d: retention.cohort_first_day_metrics(_base(spark, d)))
+register("cohort_buckets")(lambda spark, d: retention.cohort_buckets(_base(spark, d)))
+register("cohort_sizes")(lambda spark, d: retention.cohort_sizes(_base(spark, d)))
+register("cohort_retained")(lambda spark, d: retention.cohort_retained(_base(spark, d)))
+register("cohort_grid")(lambda spark, d: retention.cohort_grid(_base(spark, d)))
