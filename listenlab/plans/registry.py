@@ -76,3 +76,158 @@ register("cohort_buckets")(lambda spark, d: retention.cohort_buckets(_base(spark
 register("cohort_sizes")(lambda spark, d: retention.cohort_sizes(_base(spark, d)))
 register("cohort_retained")(lambda spark, d: retention.cohort_retained(_base(spark, d)))
 register("cohort_grid")(lambda spark, d: retention.cohort_grid(_base(spark, d)))
+
+
+# --- checks, summaries, reports, KPIs, extracts ------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from listenlab.functions.measures import cnt, count_if  # noqa: E402
+from listenlab.operators import checks, exports, reports, summary  # noqa: E402
+from listenlab.settings import DEFAULT  # noqa: E402
+
+# Parameters at the test scale: the fixture spans 30 days and
+# its tracks have far fewer listens than the real log.
+TEST_TRACK_MIN = 60
+TEST_LIFETIME_DAYS = (1, 7, 14)
+TEST_KPI_TRACK_MIN = 100
+
+
+class Marts:
+    """All marts of one fixture, built lazily from one stage and one base."""
+
+    def __init__(self, spark, sf_dir, track_min: int = DEFAULT.track_min_listens):
+        self.source = _src(spark, sf_dir)
+        self.stage = stage_ops.stage_events(self.source)
+        self.base = user_day_base(self.stage)
+        self.settings = DEFAULT.with_(track_min_listens=track_min)
+
+    @property
+    def product(self):
+        return product.product_day(self.stage, self.base)
+
+    @property
+    def funnel(self):
+        return funnel.recommendation_funnel(self.stage, self.base)
+
+    @property
+    def user(self):
+        return user.user_mart(self.stage, self.base)
+
+    @property
+    def user_day(self):
+        return user.user_day(self.stage, self.base)
+
+    @property
+    def retention(self):
+        return retention.retention_cohort(self.stage, self.base)
+
+    @property
+    def track(self):
+        return track.track_mart(self.stage, self.settings)
+
+
+def _m(spark, d, track_min=DEFAULT.track_min_listens) -> Marts:
+    return Marts(spark, d, track_min)
+
+
+@register("mart_checks")
+def _q_mart_checks(spark, d):
+    m = _m(spark, d)
+    return checks.mart_checks(m.stage, m.product, m.user, m.user_day, m.retention, m.track, m.funnel)
+
+
+@register("product_check")
+def _q_product_check(spark, d):
+    m = _m(spark, d)
+    totals = m.stage.agg(F.struct(cnt().alias("events"), count_if("is_listen").alias("listens"))).scalar()
+    return checks.product_check(m.product, totals["events"], totals["listens"])
+
+
+register("funnel_check")(lambda spark, d: checks.funnel_check(_m(spark, d).funnel))
+
+
+@register("user_day_check")
+def _q_user_day_check(spark, d):
+    m = _m(spark, d)
+    return checks.user_day_check(m.user_day, m.stage.agg(count_if("is_listen")).scalar())
+
+
+register("retention_check")(lambda spark, d: checks.retention_check(_m(spark, d).retention))
+
+
+@register("mart_summaries")
+def _q_mart_summaries(spark, d):
+    m = _m(spark, d)
+    return summary.mart_summaries(m.product, m.funnel, m.user, m.user_day, m.retention, m.track)
+
+
+@register("build_report")
+def _q_build_report(spark, d):
+    m = _m(spark, d)
+    summ = summary.mart_summaries(m.product, m.funnel, m.user, m.user_day, m.retention, m.track)
+    chk = checks.mart_checks(m.stage, m.product, m.user, m.user_day, m.retention, m.track, m.funnel)
+    return summary.build_report(source.source_profile(m.source), summ, chk, m.settings)
+
+
+def _extracts(m: Marts):
+    prod = exports.export_product_day(m.product)
+    return (prod, exports.export_track_quality(m.track), exports.export_retention_cohort(m.retention),
+            exports.export_funnel(m.funnel), exports.export_recommendation_quality(m.product))
+
+
+@register("export_checks")
+def _q_export_checks(spark, d):
+    m = _m(spark, d, TEST_TRACK_MIN)
+    frames = _extracts(m)
+    return checks.export_checks(*frames, min_listens=TEST_TRACK_MIN, text_ok=checks.text_is_clean(list(frames)))
+
+
+@register("export_report")
+def _q_export_report(spark, d):
+    m = _m(spark, d, TEST_TRACK_MIN)
+    names = ("product_day", "track_quality", "retention_cohort", "recommendation_funnel",
+             "recommendation_quality")
+    frames = _extracts(m)
+    rows = [F.struct(F.lit(n).alias("extract"), f.agg(cnt()).scalar().alias("rows"))
+            for n, f in zip(names, frames)]
+    limits = exports.track_thresholds(m.track)
+    return limits.select(F.inline(F.array(*rows)), "*")
+
+
+# reports over the marts
+register("product_summary")(lambda spark, d: reports.product_summary(_m(spark, d).product))
+register("source_comparison")(lambda spark, d: reports.source_comparison(_m(spark, d).product))
+register("funnel_report")(lambda spark, d: reports.funnel_report(_m(spark, d).funnel))
+register("daily_preview")(lambda spark, d: reports.daily_preview(_m(spark, d).product))
+register("user_summary")(lambda spark, d: reports.user_summary(_m(spark, d).user))
+register("overall_retention")(
+    lambda spark, d: reports.overall_retention(_m(spark, d).retention, TEST_LIFETIME_DAYS))
+register("retention_by_recommendations")(
+    lambda spark, d: reports.retention_by_recommendations(_m(spark, d).retention, TEST_LIFETIME_DAYS))
+register("controlled_d7")(lambda spark, d: reports.controlled_d7(_m(spark, d).retention))
+register("controlled_d7_pivot")(lambda spark, d: reports.controlled_d7_pivot(_m(spark, d).retention))
+register("cohort_heatmap")(
+    lambda spark, d: reports.cohort_heatmap(_m(spark, d).retention, TEST_LIFETIME_DAYS))
+register("track_summary")(lambda spark, d: reports.track_summary(_m(spark, d, TEST_TRACK_MIN).track))
+register("track_source_quality")(lambda spark, d: reports.track_source_quality(_m(spark, d).track))
+register("quality_segments")(lambda spark, d: reports.quality_segments(_m(spark, d, TEST_TRACK_MIN).track))
+register("popular_tracks")(lambda spark, d: reports.popular_tracks(_m(spark, d, TEST_TRACK_MIN).track))
+register("problem_tracks")(lambda spark, d: reports.problem_tracks(_m(spark, d, TEST_TRACK_MIN).track))
+
+# KPIs
+register("kpi_product")(lambda spark, d: reports.kpi_product(_m(spark, d).product))
+register("kpi_retention")(
+    lambda spark, d: reports.kpi_retention(_m(spark, d).retention, TEST_LIFETIME_DAYS))
+register("kpi_retention_weekly")(
+    lambda spark, d: reports.kpi_retention_weekly(_m(spark, d).retention, TEST_LIFETIME_DAYS))
+register("kpi_tracks")(lambda spark, d: reports.kpi_tracks(_m(spark, d).track, TEST_KPI_TRACK_MIN))
+
+# extracts
+register("export_product_day")(lambda spark, d: exports.export_product_day(_m(spark, d).product))
+register("export_track_quality")(
+    lambda spark, d: exports.export_track_quality(_m(spark, d, TEST_TRACK_MIN).track))
+register("export_retention_cohort")(
+    lambda spark, d: exports.export_retention_cohort(_m(spark, d).retention))
+register("export_funnel")(lambda spark, d: exports.export_funnel(_m(spark, d).funnel))
+register("export_recommendation_quality")(
+    lambda spark, d: exports.export_recommendation_quality(_m(spark, d).product))
