@@ -18,24 +18,25 @@ MART_KEYS = {
 }
 
 
-def _summary(name: str, df: DataFrame, **extra: Column) -> DataFrame:
-    null = F.lit(None).cast("bigint")
-    cols = {"events": null, "listens": null, "sessions": null, "users": null}
-    cols.update(extra)
-    return df.agg(F.lit(name).alias("mart"), cnt().alias("rows"),
-                  *[c.cast("bigint").alias(k) for k, c in cols.items()])
-
-
 def mart_summaries(product: DataFrame, funnel: DataFrame, user: DataFrame, user_day: DataFrame,
                    retention: DataFrame, track: DataFrame) -> DataFrame:
-    """One row per mart: rows, and the totals each builder reports."""
+    """What each builder reports, long format: (mart, measure, value) --
+    rows of every mart, event and listen totals of the product mart,
+    sessions of the user mart, distinct users of the user-day mart."""
+    def one(name: str, df: DataFrame, **measures: Column) -> DataFrame:
+        measures = {"rows": cnt(), **measures}
+        row = df.agg(*[m.cast("bigint").alias(k) for k, m in measures.items()])
+        return row.select(F.inline(F.array(*[
+            F.struct(F.lit(name).alias("mart"), F.lit(k).alias("measure"), F.col(k).alias("value"))
+            for k in measures])))
+
     parts = [
-        _summary("mart_product_day", product, events=F.sum("events"), listens=F.sum("listens")),
-        _summary("mart_recommendation_funnel", funnel),
-        _summary("mart_user", user, sessions=F.sum("sessions")),
-        _summary("mart_user_day", user_day, users=F.count_distinct("uid")),
-        _summary("mart_retention_cohort", retention),
-        _summary("mart_track", track),
+        one("mart_product_day", product, events=F.sum("events"), listens=F.sum("listens")),
+        one("mart_recommendation_funnel", funnel),
+        one("mart_user", user, sessions=F.sum("sessions")),
+        one("mart_user_day", user_day, users=F.count_distinct("uid")),
+        one("mart_retention_cohort", retention),
+        one("mart_track", track),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -48,8 +49,8 @@ def build_report(profile: DataFrame, summaries: DataFrame, checks: DataFrame,
     """The build report as one row of nested structs: source totals, rows and
     key of every mart, check results, and the metric definitions. Mart rows
     and checks are small fixed-size tables folded with ``map_from_entries``."""
-    marts = summaries.agg(F.map_from_entries(F.collect_list(F.struct(
-        F.col("mart"), F.struct(F.col("rows"), F.col("mart").alias("name")))))).scalar()
+    rows = summaries.where(F.col("measure") == "rows")
+    marts = rows.agg(F.map_from_entries(F.collect_list(F.struct("mart", "value")))).scalar()
     check_map = checks.agg(F.map_from_entries(F.collect_list(F.struct("name", "ok")))).scalar()
     keys = F.create_map(*[x for k, v in MART_KEYS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
     return profile.select(

@@ -1,6 +1,8 @@
 """All oracle texts, by key."""
 
 from listenlab.plans.oracle_marts import ORACLE as _MARTS
+from listenlab.plans.oracle_reports import ORACLE as _REPORTS
 
 ORACLE: dict[str, str] = {}
 ORACLE.update(_MARTS)
+ORACLE.update(_REPORTS)
