@@ -17,11 +17,6 @@ from pyspark.sql import functions as F
 
 from listenlab.functions.measures import cnt, count_if
 
-_LISTEN = F.col("is_listen")
-_REC = F.col("is_recommendation_listen")
-_ORG = F.col("is_listen") & (F.col("is_organic") == 1)
-_LP = F.col("is_listen_plus")
-_REPLAY = F.col("is_replay")
 
 ADDITIVE = (
     "events", "listens", "listen_plus", "listen_plus_known", "recommendation_listens",
@@ -34,6 +29,9 @@ ADDITIVE = (
 def measure_map() -> dict:
     """Row-level conditional counts shared by every grain, by name."""
     etype = F.col("event_type")
+    _LISTEN, _LP, _REPLAY = F.col("is_listen"), F.col("is_listen_plus"), F.col("is_replay")
+    _REC = F.col("is_recommendation_listen")
+    _ORG = _LISTEN & (F.col("is_organic") == 1)
     return {
         "events": cnt(),
         "listens": count_if(_LISTEN),

@@ -1,0 +1,149 @@
+"""End-to-end jobs: build every mart from the event log, export the
+dashboard extracts. The only module that writes.
+
+Plan shape at scale: the stage (flags + split session window) is written
+once; the user-day base is written once; every mart reads one of the two.
+Builder summaries are collected with ``observe`` during the write, so no
+mart is scanned twice for its row count. Checks read the written marts.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from listenlab.functions.measures import cnt
+from listenlab.operators import checks, exports, funnel, product, retention, source, stage as stage_ops, \
+    track, user
+from listenlab.operators.base import user_day_base
+from listenlab.operators.summary import MART_KEYS
+from listenlab.settings import DEFAULT, Settings
+from listenlab.sources import read_interactions
+from listenlab.sources.sinks import write_csv, write_parquet
+
+MART_FILES = {name: f"{name}.parquet" for name in MART_KEYS}
+
+
+def _p(root: str, name: str) -> str:
+    return f"{root.rstrip('/')}/{name}"
+
+
+def _write_observed(df: DataFrame, path: str, keys: list[str], **measures) -> dict:
+    obs = Observation()
+    measures = {"rows": cnt(), **measures}
+    observed = df.observe(obs, *[m.alias(k) for k, m in measures.items()])
+    write_parquet(observed, path, keys)
+    return dict(obs.get)
+
+
+def build_marts(spark: SparkSession, source_path: str | None, output_dir: str, stage_path: str | None = None,
+                settings: Settings = DEFAULT, reuse_stage: bool = False,
+                source_df: DataFrame | None = None) -> dict:
+    """Gate the source, write the stage, the six marts and the report.
+
+    ``reuse_stage`` reads an existing stage instead of rebuilding it; as in
+    the original tool it still profiles the source but skips the gate and
+    the stage row-count reconciliation."""
+    src = source_df if source_df is not None else read_interactions(spark, source_path)
+    stage_path = stage_path or _p(output_dir, "_stage_events.parquet")
+    profile = source.source_profile(src).first().asDict()
+    if reuse_stage:
+        try:
+            stage = spark.read.parquet(stage_path)
+        except Exception as exc:  # noqa: BLE001
+            raise FileNotFoundError(f"stage not found at {stage_path}; build it first") from exc
+    else:
+        if profile["required_nulls"] != 0 or profile["invalid_event_type"] != 0:
+            raise ValueError(f"source gate failed: {profile}")
+        written = _write_observed(stage_ops.stage_events(src, settings), stage_path, ["uid", "day_idx"])
+        if written["rows"] != profile["events"]:
+            raise RuntimeError(f"stage rows {written['rows']} != source rows {profile['events']}")
+        stage = spark.read.parquet(stage_path)
+
+    base_path = _p(output_dir, "_user_day_base.parquet")
+    write_parquet(user_day_base(stage), base_path)
+    base = spark.read.parquet(base_path)
+
+    paths = {name: _p(output_dir, f) for name, f in MART_FILES.items()}
+    summaries = {
+        "mart_product_day": _write_observed(
+            product.product_day(stage, base), paths["mart_product_day"], MART_KEYS["mart_product_day"],
+            events=F.sum("events"), listens=F.sum("listens")),
+        "mart_recommendation_funnel": _write_observed(
+            funnel.recommendation_funnel(stage, base).coalesce(1), paths["mart_recommendation_funnel"],
+            MART_KEYS["mart_recommendation_funnel"]),
+        "mart_user": _write_observed(user.user_mart(stage, base), paths["mart_user"], MART_KEYS["mart_user"],
+                                     sessions=F.sum("sessions")),
+        "mart_user_day": _write_observed(user.user_day(stage, base), paths["mart_user_day"],
+                                         MART_KEYS["mart_user_day"]),
+        "mart_retention_cohort": _write_observed(
+            retention.retention_cohort(stage, base), paths["mart_retention_cohort"],
+            MART_KEYS["mart_retention_cohort"]),
+        "mart_track": _write_observed(track.track_mart(stage, settings), paths["mart_track"],
+                                      MART_KEYS["mart_track"]),
+    }
+    marts = {k: spark.read.parquet(v) for k, v in paths.items()}
+    result = checks.raise_on_failure(checks.mart_checks(
+        stage, marts["mart_product_day"], marts["mart_user"], marts["mart_user_day"],
+        marts["mart_retention_cohort"], marts["mart_track"], marts["mart_recommendation_funnel"]))
+    report = {
+        "source": {k: profile[k] for k in ("events", "listens", "users", "items")},
+        "marts": {MART_FILES[k]: {"rows": v["rows"], "key": MART_KEYS[k]} for k, v in summaries.items()},
+        "summaries": summaries,
+        "checks": result,
+        "definitions": {
+            "day_seconds": settings.day_seconds,
+            "session_gap_seconds": settings.session_gap_seconds,
+            "listen_plus_threshold": settings.listen_plus_threshold,
+            "track_min_listens": settings.track_min_listens,
+        },
+    }
+    _write_report(spark, report, _p(output_dir, "mart_build_report.json"))
+    return report
+
+
+def _write_report(spark: SparkSession, report: dict, path: str) -> None:
+    """The (small, fixed-shape) report dict as indented UTF-8 JSON text."""
+    import json
+
+    text = json.dumps(report, ensure_ascii=False, indent=2, default=str)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def export_all(spark: SparkSession, mart_dir: str, output_dir: str, settings: Settings = DEFAULT,
+               single_file: bool = True) -> dict:
+    """Write the five dashboard extracts as CSV, check them, report rows,
+    thresholds and file sizes."""
+    def mart(name):
+        try:
+            return spark.read.parquet(_p(mart_dir, MART_FILES[name]))
+        except Exception as exc:  # noqa: BLE001
+            raise FileNotFoundError(f"mart {name} not found in {mart_dir}; build the marts first") from exc
+
+    product_mart, track_mart = mart("mart_product_day"), mart("mart_track")
+    frames = {
+        "01_product/product_day.csv": exports.export_product_day(product_mart),
+        "02_tracks/track_quality.csv": exports.export_track_quality(track_mart),
+        "03_retention/retention_cohort.csv": exports.export_retention_cohort(mart("mart_retention_cohort")),
+        "03_retention/recommendation_funnel.csv": exports.export_funnel(mart("mart_recommendation_funnel")),
+        "03_retention/recommendation_quality.csv": exports.export_recommendation_quality(product_mart),
+    }
+    for rel, df in frames.items():
+        # the track extract has one row per reliable track: keep it multi-part
+        write_csv(df, _p(output_dir, rel), single_file=single_file and not rel.startswith("02_"))
+
+    written = {rel: spark.read.option("header", True).csv(_p(output_dir, rel)) for rel in frames}
+    text = spark.read.text(_p(output_dir, "*/*.csv"))
+    bad = text.where(F.col("value").contains("???") | F.col("value").contains("\ufffd"))
+    text_ok = bad.agg(cnt()).scalar() == 0
+    typed = list(frames.values())
+    result = checks.raise_on_failure(
+        checks.export_checks(*typed, min_listens=settings.track_min_listens, text_ok=text_ok), "export checks")
+    files = text.select("_metadata.file_path", "_metadata.file_size").distinct().collect()
+    thresholds = exports.track_thresholds(track_mart).first().asDict()
+    return {
+        "rows": {rel: df.count() for rel, df in written.items()},
+        "track_thresholds": thresholds,
+        "checks": result,
+        "files": {r["file_path"]: {"bytes": r["file_size"]} for r in files},
+    }
