@@ -1,0 +1,41 @@
+"""End-to-end build and export on the smallest fixture."""
+
+import glob
+import json
+import os
+
+from conftest import SF001
+from listenlab.plans import pipeline
+from listenlab.settings import DEFAULT
+from listenlab.sources import load_fixture
+
+
+def test_build_and_export(spark, tmp_path):
+    out = str(tmp_path / "marts")
+    src = load_fixture(spark, SF001)
+    low = DEFAULT.with_(track_min_listens=20)  # sf0.001 tracks have < 100 listens
+    report = pipeline.build_marts(spark, None, out, source_df=src, settings=low)
+    assert report["source"]["events"] == 890
+    assert all(report["checks"].values()) and len(report["checks"]) == 11
+    assert report["marts"]["mart_recommendation_funnel.parquet"]["rows"] == 4
+    text = "".join(open(p, encoding="utf-8").read()
+                   for p in glob.glob(f"{out}/mart_build_report.json/part-*"))
+    assert json.loads(text)["definitions"]["session_gap_seconds"] == 1800
+
+    # reuse the written stage: same marts
+    again = pipeline.build_marts(spark, None, out + "2", stage_path=f"{out}/_stage_events.parquet",
+                                 reuse_stage=True, source_df=src, settings=low)
+    assert again["marts"] == report["marts"]
+
+    exp = str(tmp_path / "exports")
+    er = pipeline.export_all(spark, out, exp, settings=low)
+    assert er["rows"]["03_retention/recommendation_funnel.csv"] == 4
+    assert er["rows"]["03_retention/recommendation_quality.csv"] == 2
+    assert all(er["checks"].values())
+    part = glob.glob(os.path.join(exp, "03_retention/recommendation_quality.csv/part-*.csv"))[0]
+    raw = open(part, "rb").read()
+    assert raw.startswith(b"\xef\xbb\xbfsource_order,")               # BOM before the header
+    lines = raw.decode("utf-8-sig").splitlines()
+    assert lines[1].split(",")[5].count(".") == 1 and len(lines[1].split(",")[5].split(".")[1]) == 8
+    product_csv = glob.glob(os.path.join(exp, "01_product/product_day.csv/part-*.csv"))[0]
+    assert ",True" in open(product_csv, encoding="utf-8-sig").read()  # booleans as True/False
