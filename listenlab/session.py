@@ -25,6 +25,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.parquet.compression.codec", "zstd")
         .config("spark.driver.memory", "8g")
+        # no per-call Python call-site capture while building plans
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -9,7 +9,7 @@ integers on read, the cast makes the result independent of that.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,62 +59,41 @@ def read_interactions(spark: SparkSession, path: str) -> DataFrame:
 # so that full duplicate rows exist. None of this subsets the input: the
 # mapping is the test input itself.
 
-_START = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
-
-
 def interactions_from_events(events: DataFrame) -> DataFrame:
-    """Map the ``events`` test table onto the interaction contract."""
-    user_id = F.col("user_id")
-    event_id = F.col("event_id")
-    k = F.get_json_object("props", "$.k").cast("int")
-    sec = F.expr(f"timestampdiff(SECOND, {_START}, ts)")
-
-    base = events.select(event_id.alias("event_id"), user_id.alias("user_id"),
-                         sec.alias("sec"), k.alias("k"))
-    item = F.when(F.col("k") < 60, F.col("k") % 12).otherwise(F.col("k"))
-    uid = (
-        F.when(user_id % 3 == 0, F.lit(3))
-        .when(user_id % 6 == 1, F.lit(7))
-        .when(user_id % 6 == 4, 100 + user_id % 25)
-        .otherwise(1000 + user_id)
-    )
-    organic = (
-        F.when((user_id % 6 == 4) & (user_id % 25 < 5), F.lit(1))
-        .when((user_id % 6 == 4) & (user_id % 25 < 10), F.lit(0))
-        .when((event_id * 7 + F.col("k")) % 100 < 48, F.lit(0))
-        .otherwise(F.lit(1))
+    """Map the ``events`` test table onto the interaction contract (the Spark
+    text of FIXTURES.md section 2, as projections)."""
+    base = events.selectExpr(
+        "event_id", "user_id",
+        "timestampdiff(SECOND, TIMESTAMP_NTZ'2024-01-01 00:00:00', ts) AS sec",
+        "CAST(get_json_object(props, '$.k') AS INT) AS k",
     )
-    ev20 = event_id % 20
-    etype = (
-        F.when((ev20 == 14) | (ev20 == 15), F.lit("like"))
-        .when(ev20 == 16, F.lit("dislike"))
-        .when(ev20 == 17, F.lit("unlike"))
-        .when(ev20 == 18, F.lit("undislike"))
-        .otherwise(F.lit("listen"))
-    )
-    ratio = F.when(F.col("k") == 77, F.lit(None)).otherwise((event_id * 37) % 131).cast("int")
-    length = F.when(F.col("k") == 88, F.lit(None)).otherwise(60 + (item * 37) % 300).cast("int")
-
-    mapped = base.select(
+    mapped = base.selectExpr(
         "event_id",
-        uid.cast("bigint").alias("uid"),
-        item.cast("bigint").alias("item_id"),
-        (F.col("sec") - F.col("sec") % 5).cast("bigint").alias("ts_sec"),
-        organic.cast("int").alias("is_organic"),
-        etype.alias("event_type"),
-        ratio.alias("ratio"),
-        length.alias("len"),
-    ).withColumn("d", F.expr("ts_sec div 86400"))
-    kept = mapped.where(
-        (F.col("d") >= F.col("uid") % 10)
-        | ((F.col("event_type") != "listen") & (F.col("d") >= F.col("uid") % 10 - 1))
-    )
-    dup = kept.unionByName(kept.where(F.col("event_id") % 50 == 0))
-    is_listen: Column = F.col("event_type") == "listen"
-    return to_contract(dup.select(
-        "uid", "item_id", F.col("ts_sec").alias("timestamp"), "is_organic", "event_type",
-        F.when(is_listen, F.col("ratio")).alias("played_ratio_pct"),
-        F.when(is_listen, F.col("len")).alias("track_length_seconds"),
+        """CAST(CASE WHEN user_id % 3 = 0 THEN 3
+                     WHEN user_id % 6 = 1 THEN 7
+                     WHEN user_id % 6 = 4 THEN 100 + user_id % 25
+                     ELSE 1000 + user_id END AS BIGINT) AS uid""",
+        "CAST(CASE WHEN k < 60 THEN k % 12 ELSE k END AS BIGINT) AS item_id",
+        "CAST(sec - sec % 5 AS BIGINT) AS ts_sec",
+        """CAST(CASE WHEN user_id % 6 = 4 AND user_id % 25 < 5 THEN 1
+                     WHEN user_id % 6 = 4 AND user_id % 25 < 10 THEN 0
+                     WHEN (event_id * 7 + k) % 100 < 48 THEN 0 ELSE 1 END AS INT) AS is_organic""",
+        """CASE WHEN event_id % 20 = 14 OR event_id % 20 = 15 THEN 'like'
+                WHEN event_id % 20 = 16 THEN 'dislike'
+                WHEN event_id % 20 = 17 THEN 'unlike'
+                WHEN event_id % 20 = 18 THEN 'undislike'
+                ELSE 'listen' END AS event_type""",
+        "CAST(CASE WHEN k = 77 THEN NULL ELSE (event_id * 37) % 131 END AS INT) AS ratio",
+        """CAST(CASE WHEN k = 88 THEN NULL
+                     ELSE 60 + ((CASE WHEN k < 60 THEN k % 12 ELSE k END) * 37) % 300 END AS INT) AS len""",
+    ).selectExpr("*", "CAST(ts_sec div 86400 AS BIGINT) AS d")
+    kept = mapped.where("d >= uid % 10 OR (event_type <> 'listen' AND d >= uid % 10 - 1)")
+    # every 50th event appears twice: one scan, a copy count per row
+    dup = kept.selectExpr("*", "explode(array_repeat(1, CASE WHEN event_id % 50 = 0 THEN 2 ELSE 1 END)) AS _copy")
+    return to_contract(dup.selectExpr(
+        "uid", "item_id", "ts_sec AS timestamp", "is_organic", "event_type",
+        "CASE WHEN event_type = 'listen' THEN ratio END AS played_ratio_pct",
+        "CASE WHEN event_type = 'listen' THEN len END AS track_length_seconds",
     ))
 
 
