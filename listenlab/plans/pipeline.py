@@ -2,13 +2,23 @@
 dashboard extracts. The only module that writes.
 
 Plan shape at scale: the stage (flags + split session window) is written
-once; the user-day base is written once; every mart reads one of the two.
-Builder summaries are collected with ``observe`` during the write, so no
-mart is scanned twice for its row count. Checks read the written marts.
+once; each builder reads the written stage (and the user-day base, written
+once next to it) and writes one mart. Builder summaries are collected with
+``observe`` during the write, so no mart is scanned twice for its totals.
+Checks read the written marts.
+
+Function map (one per step of the original tool): ``prepare_events``,
+``build_product_mart``, ``build_recommendation_funnel``, ``build_user_mart``,
+``build_user_day_mart``, ``build_retention_mart``, ``build_track_mart``,
+``validate_all_marts``, ``build_marts``; ``export_product``,
+``export_tracks``, ``export_retention``, ``export_funnel``,
+``export_source_quality``, ``validate_exports``, ``export_all``.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,12 +32,20 @@ from listenlab.sources import read_interactions
 from listenlab.sources.sinks import write_csv, write_parquet
 
 MART_FILES = {name: f"{name}.parquet" for name in MART_KEYS}
+BASE_FILE = "_user_day_base.parquet"
 
 
 def _p(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
+def _read(spark: SparkSession, path: str, what: str, advice: str) -> DataFrame:
+    try:
+        return spark.read.parquet(path)
+    except Exception as exc:  # noqa: BLE001  (PATH_NOT_FOUND and friends)
+        raise FileNotFoundError(f"{what} not found at {path}. {advice}") from exc
+
+
 def _write_observed(df: DataFrame, path: str, keys: list[str], **measures) -> dict:
     obs = Observation()
     measures = {"rows": cnt(), **measures}
@@ -36,6 +54,87 @@ def _write_observed(df: DataFrame, path: str, keys: list[str], **measures) -> di
     return dict(obs.get)
 
 
+# --- stage -------------------------------------------------------------------
+
+def prepare_events(spark: SparkSession, source_path: str | None, stage_path: str,
+                   settings: Settings = DEFAULT, source_df: DataFrame | None = None) -> dict:
+    """Profile and gate the source, write the stage, reconcile its row count.
+    Returns the source profile."""
+    src = source_df if source_df is not None else read_interactions(spark, source_path)
+    profile = source.source_profile(src).first().asDict()
+    if profile["required_nulls"] != 0 or profile["invalid_event_type"] != 0:
+        raise ValueError(f"source gate failed: {profile}")
+    written = _write_observed(stage_ops.stage_events(src, settings), stage_path, ["uid", "day_idx"])
+    if written["rows"] != profile["events"]:
+        raise RuntimeError(f"stage rows {written['rows']} != source rows {profile['events']}")
+    return profile
+
+
+def _stage(spark, stage_path):
+    return _read(spark, stage_path, "stage", "Run prepare_events first.")
+
+
+def _base(spark, stage_path):
+    """The user-day base next to the stage; written on first use."""
+    path = stage_path.rstrip("/") + BASE_FILE
+    try:
+        return spark.read.parquet(path)
+    except Exception:  # noqa: BLE001
+        write_parquet(user_day_base(_stage(spark, stage_path)), path)
+        return spark.read.parquet(path)
+
+
+# --- marts -------------------------------------------------------------------
+
+def build_product_mart(spark, stage_path: str, output_path: str) -> dict:
+    return _write_observed(
+        product.product_day(_stage(spark, stage_path), _base(spark, stage_path)), output_path,
+        MART_KEYS["mart_product_day"], events=F.sum("events"), listens=F.sum("listens"))
+
+
+def build_recommendation_funnel(spark, stage_path: str, output_path: str) -> dict:
+    # four rows: one file
+    return _write_observed(
+        funnel.recommendation_funnel(_stage(spark, stage_path), _base(spark, stage_path)).coalesce(1),
+        output_path, MART_KEYS["mart_recommendation_funnel"])
+
+
+def build_user_mart(spark, stage_path: str, output_path: str) -> dict:
+    return _write_observed(user.user_mart(_stage(spark, stage_path), _base(spark, stage_path)), output_path,
+                           MART_KEYS["mart_user"], sessions=F.sum("sessions"))
+
+
+def build_user_day_mart(spark, stage_path: str, output_path: str) -> dict:
+    out = _write_observed(user.user_day(_stage(spark, stage_path), _base(spark, stage_path)), output_path,
+                          MART_KEYS["mart_user_day"])
+    out["users"] = spark.read.parquet(output_path).select("uid").distinct().count()
+    return out
+
+
+def build_retention_mart(spark, stage_path: str, output_path: str) -> dict:
+    return _write_observed(retention.retention_cohort(_stage(spark, stage_path), _base(spark, stage_path)),
+                           output_path, MART_KEYS["mart_retention_cohort"])
+
+
+def build_track_mart(spark, stage_path: str, output_path: str, settings: Settings = DEFAULT) -> dict:
+    return _write_observed(track.track_mart(_stage(spark, stage_path), settings), output_path,
+                           MART_KEYS["mart_track"])
+
+
+def validate_all_marts(spark, stage_path: str, mart_dir: str) -> dict[str, bool]:
+    """The eleven reconciliation checks over written marts; raises on failure."""
+    m = {k: _read(spark, _p(mart_dir, f), k, "Build the marts first.") for k, f in MART_FILES.items()}
+    return checks.raise_on_failure(checks.mart_checks(
+        _stage(spark, stage_path), m["mart_product_day"], m["mart_user"], m["mart_user_day"],
+        m["mart_retention_cohort"], m["mart_track"], m["mart_recommendation_funnel"]))
+
+
+def _write_report(spark: SparkSession, report: dict, path: str) -> None:
+    """The (small, fixed-shape) report dict as indented UTF-8 JSON text."""
+    text = json.dumps(report, ensure_ascii=False, indent=2, default=str)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
 def build_marts(spark: SparkSession, source_path: str | None, output_dir: str, stage_path: str | None = None,
                 settings: Settings = DEFAULT, reuse_stage: bool = False,
                 source_df: DataFrame | None = None) -> dict:
@@ -44,48 +143,26 @@ def build_marts(spark: SparkSession, source_path: str | None, output_dir: str, s
     ``reuse_stage`` reads an existing stage instead of rebuilding it; as in
     the original tool it still profiles the source but skips the gate and
     the stage row-count reconciliation."""
-    src = source_df if source_df is not None else read_interactions(spark, source_path)
     stage_path = stage_path or _p(output_dir, "_stage_events.parquet")
-    profile = source.source_profile(src).first().asDict()
     if reuse_stage:
-        try:
-            stage = spark.read.parquet(stage_path)
-        except Exception as exc:  # noqa: BLE001
-            raise FileNotFoundError(f"stage not found at {stage_path}; build it first") from exc
+        _stage(spark, stage_path)
+        src = source_df if source_df is not None else read_interactions(spark, source_path)
+        profile = source.source_profile(src).first().asDict()
     else:
-        if profile["required_nulls"] != 0 or profile["invalid_event_type"] != 0:
-            raise ValueError(f"source gate failed: {profile}")
-        written = _write_observed(stage_ops.stage_events(src, settings), stage_path, ["uid", "day_idx"])
-        if written["rows"] != profile["events"]:
-            raise RuntimeError(f"stage rows {written['rows']} != source rows {profile['events']}")
-        stage = spark.read.parquet(stage_path)
-
-    base_path = _p(output_dir, "_user_day_base.parquet")
-    write_parquet(user_day_base(stage), base_path)
-    base = spark.read.parquet(base_path)
+        profile = prepare_events(spark, source_path, stage_path, settings, source_df)
+    write_parquet(user_day_base(_stage(spark, stage_path)), stage_path.rstrip("/") + BASE_FILE)
 
     paths = {name: _p(output_dir, f) for name, f in MART_FILES.items()}
     summaries = {
-        "mart_product_day": _write_observed(
-            product.product_day(stage, base), paths["mart_product_day"], MART_KEYS["mart_product_day"],
-            events=F.sum("events"), listens=F.sum("listens")),
-        "mart_recommendation_funnel": _write_observed(
-            funnel.recommendation_funnel(stage, base).coalesce(1), paths["mart_recommendation_funnel"],
-            MART_KEYS["mart_recommendation_funnel"]),
-        "mart_user": _write_observed(user.user_mart(stage, base), paths["mart_user"], MART_KEYS["mart_user"],
-                                     sessions=F.sum("sessions")),
-        "mart_user_day": _write_observed(user.user_day(stage, base), paths["mart_user_day"],
-                                         MART_KEYS["mart_user_day"]),
-        "mart_retention_cohort": _write_observed(
-            retention.retention_cohort(stage, base), paths["mart_retention_cohort"],
-            MART_KEYS["mart_retention_cohort"]),
-        "mart_track": _write_observed(track.track_mart(stage, settings), paths["mart_track"],
-                                      MART_KEYS["mart_track"]),
+        "mart_product_day": build_product_mart(spark, stage_path, paths["mart_product_day"]),
+        "mart_recommendation_funnel": build_recommendation_funnel(
+            spark, stage_path, paths["mart_recommendation_funnel"]),
+        "mart_user": build_user_mart(spark, stage_path, paths["mart_user"]),
+        "mart_user_day": build_user_day_mart(spark, stage_path, paths["mart_user_day"]),
+        "mart_retention_cohort": build_retention_mart(spark, stage_path, paths["mart_retention_cohort"]),
+        "mart_track": build_track_mart(spark, stage_path, paths["mart_track"], settings),
     }
-    marts = {k: spark.read.parquet(v) for k, v in paths.items()}
-    result = checks.raise_on_failure(checks.mart_checks(
-        stage, marts["mart_product_day"], marts["mart_user"], marts["mart_user_day"],
-        marts["mart_retention_cohort"], marts["mart_track"], marts["mart_recommendation_funnel"]))
+    result = validate_all_marts(spark, stage_path, output_dir)
     report = {
         "source": {k: profile[k] for k in ("events", "listens", "users", "items")},
         "marts": {MART_FILES[k]: {"rows": v["rows"], "key": MART_KEYS[k]} for k, v in summaries.items()},
@@ -102,47 +179,82 @@ def build_marts(spark: SparkSession, source_path: str | None, output_dir: str, s
     return report
 
 
-def _write_report(spark: SparkSession, report: dict, path: str) -> None:
-    """The (small, fixed-shape) report dict as indented UTF-8 JSON text."""
-    import json
+# --- extracts ----------------------------------------------------------------
+
+EXTRACT_FILES = {
+    "product_day": "01_product/product_day.csv",
+    "track_quality": "02_tracks/track_quality.csv",
+    "retention_cohort": "03_retention/retention_cohort.csv",
+    "recommendation_funnel": "03_retention/recommendation_funnel.csv",
+    "recommendation_quality": "03_retention/recommendation_quality.csv",
+}
+
+
+def _mart(spark, mart_dir, name):
+    return _read(spark, _p(mart_dir, MART_FILES[name]), f"mart {name}", "Run build_marts first.")
+
+
+def export_product(spark, mart_dir: str, output_dir: str, single_file: bool = True) -> DataFrame:
+    df = exports.export_product_day(_mart(spark, mart_dir, "mart_product_day"))
+    write_csv(df, _p(output_dir, EXTRACT_FILES["product_day"]), single_file)
+    return df
 
-    text = json.dumps(report, ensure_ascii=False, indent=2, default=str)
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+def export_tracks(spark, mart_dir: str, output_dir: str) -> tuple[DataFrame, dict]:
+    """Reliable tracks (one row each, so the CSV stays multi-part) and the
+    quartile thresholds."""
+    t = _mart(spark, mart_dir, "mart_track")
+    df = exports.export_track_quality(t)
+    write_csv(df, _p(output_dir, EXTRACT_FILES["track_quality"]), single_file=False)
+    return df, exports.track_thresholds(t).first().asDict()
+
+
+def export_retention(spark, mart_dir: str, output_dir: str, single_file: bool = True) -> DataFrame:
+    df = exports.export_retention_cohort(_mart(spark, mart_dir, "mart_retention_cohort"))
+    write_csv(df, _p(output_dir, EXTRACT_FILES["retention_cohort"]), single_file)
+    return df
+
+
+def export_funnel(spark, mart_dir: str, output_dir: str) -> DataFrame:
+    df = exports.export_funnel(_mart(spark, mart_dir, "mart_recommendation_funnel"))
+    write_csv(df, _p(output_dir, EXTRACT_FILES["recommendation_funnel"]), single_file=True)
+    return df
+
+
+def export_source_quality(product_mart: DataFrame, output_dir: str) -> DataFrame:
+    df = exports.export_recommendation_quality(product_mart)
+    write_csv(df, _p(output_dir, EXTRACT_FILES["recommendation_quality"]), single_file=True)
+    return df
+
+
+def validate_exports(spark, frames: dict[str, DataFrame], output_dir: str,
+                     min_listens: int = DEFAULT.track_min_listens) -> dict[str, bool]:
+    """Export checks plus a scan of every written CSV for '???' / U+FFFD."""
+    text = spark.read.text(_p(output_dir, "*/*.csv"))
+    bad = text.where(F.col("value").contains("???") | F.col("value").contains("\ufffd"))
+    return checks.raise_on_failure(checks.export_checks(
+        frames["product_day"], frames["track_quality"], frames["retention_cohort"],
+        frames["recommendation_funnel"], frames["recommendation_quality"], min_listens=min_listens,
+        text_ok=bad.agg(cnt()).scalar() == 0), "export checks")
 
 
 def export_all(spark: SparkSession, mart_dir: str, output_dir: str, settings: Settings = DEFAULT,
                single_file: bool = True) -> dict:
     """Write the five dashboard extracts as CSV, check them, report rows,
     thresholds and file sizes."""
-    def mart(name):
-        try:
-            return spark.read.parquet(_p(mart_dir, MART_FILES[name]))
-        except Exception as exc:  # noqa: BLE001
-            raise FileNotFoundError(f"mart {name} not found in {mart_dir}; build the marts first") from exc
-
-    product_mart, track_mart = mart("mart_product_day"), mart("mart_track")
-    frames = {
-        "01_product/product_day.csv": exports.export_product_day(product_mart),
-        "02_tracks/track_quality.csv": exports.export_track_quality(track_mart),
-        "03_retention/retention_cohort.csv": exports.export_retention_cohort(mart("mart_retention_cohort")),
-        "03_retention/recommendation_funnel.csv": exports.export_funnel(mart("mart_recommendation_funnel")),
-        "03_retention/recommendation_quality.csv": exports.export_recommendation_quality(product_mart),
-    }
-    for rel, df in frames.items():
-        # the track extract has one row per reliable track: keep it multi-part
-        write_csv(df, _p(output_dir, rel), single_file=single_file and not rel.startswith("02_"))
-
-    written = {rel: spark.read.option("header", True).csv(_p(output_dir, rel)) for rel in frames}
-    text = spark.read.text(_p(output_dir, "*/*.csv"))
-    bad = text.where(F.col("value").contains("???") | F.col("value").contains("\ufffd"))
-    text_ok = bad.agg(cnt()).scalar() == 0
-    typed = list(frames.values())
-    result = checks.raise_on_failure(
-        checks.export_checks(*typed, min_listens=settings.track_min_listens, text_ok=text_ok), "export checks")
-    files = text.select("_metadata.file_path", "_metadata.file_size").distinct().collect()
-    thresholds = exports.track_thresholds(track_mart).first().asDict()
+    frames = {"product_day": export_product(spark, mart_dir, output_dir, single_file)}
+    frames["track_quality"], thresholds = export_tracks(spark, mart_dir, output_dir)
+    frames["retention_cohort"] = export_retention(spark, mart_dir, output_dir, single_file)
+    frames["recommendation_funnel"] = export_funnel(spark, mart_dir, output_dir)
+    frames["recommendation_quality"] = export_source_quality(_mart(spark, mart_dir, "mart_product_day"),
+                                                             output_dir)
+    result = validate_exports(spark, frames, output_dir, settings.track_min_listens)
+    written = spark.read.text(_p(output_dir, "*/*.csv"))
+    files = written.select("_metadata.file_path", "_metadata.file_size").distinct().collect()
+    rows = {rel: spark.read.option("header", True).csv(_p(output_dir, rel)).count()
+            for rel in EXTRACT_FILES.values()}
     return {
-        "rows": {rel: df.count() for rel, df in written.items()},
+        "rows": rows,
         "track_thresholds": thresholds,
         "checks": result,
         "files": {r["file_path"]: {"bytes": r["file_size"]} for r in files},
