@@ -29,7 +29,7 @@ from listenlab.operators.base import user_day_base
 from listenlab.operators.summary import MART_KEYS
 from listenlab.settings import DEFAULT, Settings
 from listenlab.sources import read_interactions
-from listenlab.sources.sinks import write_csv, write_parquet
+from listenlab.sources.sinks import sorted_frame, write_csv, write_parquet
 
 MART_FILES = {name: f"{name}.parquet" for name in MART_KEYS}
 BASE_FILE = "_user_day_base.parquet"
@@ -46,11 +46,17 @@ def _read(spark: SparkSession, path: str, what: str, advice: str) -> DataFrame:
         raise FileNotFoundError(f"{what} not found at {path}. {advice}") from exc
 
 
-def _write_observed(df: DataFrame, path: str, keys: list[str], **measures) -> dict:
+# Marts whose size is bounded by the number of days (or steps) are written in
+# total key order; the others are sorted within each file.
+
+
+def _write_observed(df: DataFrame, path: str, keys: list[str], total_order: bool = False, **measures) -> dict:
+    # observe above the sort: a range sort samples its input in a separate
+    # pass, which would otherwise be counted too
     obs = Observation()
     measures = {"rows": cnt(), **measures}
-    observed = df.observe(obs, *[m.alias(k) for k, m in measures.items()])
-    write_parquet(observed, path, keys)
+    observed = sorted_frame(df, keys, total_order).observe(obs, *[m.alias(k) for k, m in measures.items()])
+    write_parquet(observed, path)
     return dict(obs.get)
 
 
@@ -89,14 +95,14 @@ def _base(spark, stage_path):
 def build_product_mart(spark, stage_path: str, output_path: str) -> dict:
     return _write_observed(
         product.product_day(_stage(spark, stage_path), _base(spark, stage_path)), output_path,
-        MART_KEYS["mart_product_day"], events=F.sum("events"), listens=F.sum("listens"))
+        MART_KEYS["mart_product_day"], True, events=F.sum("events"), listens=F.sum("listens"))
 
 
 def build_recommendation_funnel(spark, stage_path: str, output_path: str) -> dict:
     # four rows: one file
     return _write_observed(
         funnel.recommendation_funnel(_stage(spark, stage_path), _base(spark, stage_path)).coalesce(1),
-        output_path, MART_KEYS["mart_recommendation_funnel"])
+        output_path, MART_KEYS["mart_recommendation_funnel"], True)
 
 
 def build_user_mart(spark, stage_path: str, output_path: str) -> dict:
@@ -113,7 +119,7 @@ def build_user_day_mart(spark, stage_path: str, output_path: str) -> dict:
 
 def build_retention_mart(spark, stage_path: str, output_path: str) -> dict:
     return _write_observed(retention.retention_cohort(_stage(spark, stage_path), _base(spark, stage_path)),
-                           output_path, MART_KEYS["mart_retention_cohort"])
+                           output_path, MART_KEYS["mart_retention_cohort"], True)
 
 
 def build_track_mart(spark, stage_path: str, output_path: str, settings: Settings = DEFAULT) -> dict:

@@ -33,6 +33,26 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(shuffle_partitions: int = 8000) -> dict[str, str]:
+    """Suggested settings for a large cluster (pass to the session builder).
+
+    AQE coalesces the generous shuffle partition count down to
+    ``advisoryPartitionSizeInBytes`` per task and splits skewed join
+    partitions; the session window is already split by (uid, time slice),
+    which AQE would not do for a window. ``spark.checkpoint.dir`` must be set
+    by the cluster to a shared folder."""
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.files.maxPartitionBytes": "512m",
+        "spark.sql.parquet.compression.codec": "zstd",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -15,9 +15,18 @@ from pyspark.sql import functions as F
 BOM = "\ufeff"
 
 
-def write_parquet(df: DataFrame, path: str, sort_keys: list[str] | None = None) -> None:
-    out = df.sortWithinPartitions(*sort_keys) if sort_keys else df
-    out.write.mode("overwrite").option("compression", "zstd").parquet(path)
+def write_parquet(df: DataFrame, path: str, sort_keys: list[str] | None = None,
+                  total_order: bool = False) -> None:
+    """ZSTD Parquet, rows sorted by ``sort_keys``: across files (a range
+    shuffle; for marts whose size is bounded by days or steps) or within each
+    file (no shuffle; for user- and track-grain marts)."""
+    sorted_frame(df, sort_keys, total_order).write.mode("overwrite").option("compression", "zstd").parquet(path)
+
+
+def sorted_frame(df: DataFrame, sort_keys: list[str] | None, total_order: bool = False) -> DataFrame:
+    if not sort_keys:
+        return df
+    return df.orderBy(*sort_keys) if total_order else df.sortWithinPartitions(*sort_keys)
 
 
 def csv_frame(df: DataFrame) -> DataFrame:

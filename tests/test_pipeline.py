@@ -18,6 +18,10 @@ def test_build_and_export(spark, tmp_path):
     assert report["source"]["events"] == 890
     assert all(report["checks"].values()) and len(report["checks"]) == 11
     assert report["marts"]["mart_recommendation_funnel.parquet"]["rows"] == 4
+    # observed totals (collected during the writes) equal a re-count of the files
+    for name, summary in report["summaries"].items():
+        assert summary["rows"] == spark.read.parquet(f"{out}/{name}.parquet").count(), name
+    assert report["summaries"]["mart_product_day"]["events"] == 890
     text = "".join(open(p, encoding="utf-8").read()
                    for p in glob.glob(f"{out}/mart_build_report.json/part-*"))
     assert json.loads(text)["definitions"]["session_gap_seconds"] == 1800
