@@ -115,12 +115,26 @@ def cohort_grid(base: DataFrame) -> DataFrame:
 
 
 def retention_cohort(stage: DataFrame, base: DataFrame | None = None) -> DataFrame:
-    """R8, ``mart_retention_cohort``: grid left-joined with retained users."""
+    """R8, ``mart_retention_cohort``: grid left-joined with retained users.
+
+    One aggregation serves both sides: every cohort user listens on lifetime
+    day 0, so the lifetime-0 groups of the retained counts are the cohort
+    sizes, and their averages are the first-day averages. The per-user
+    window runs once."""
     base = user_day_base(stage) if base is None else base
     rows = _bucketed(with_cohort(base)).where(F.col("cohort_day").isNotNull())
-    sizes = _sizes(rows.where(F.col("day_idx") == F.col("cohort_day")))
+    per_day = rows.where((F.col("listens") > 0) & (F.col("day_idx") >= F.col("cohort_day"))) \
+        .groupBy(*_BUCKETS, (F.col("day_idx") - F.col("cohort_day")).alias("lifetime_day")).agg(
+            cnt().alias("retained_users"),
+            F.avg("first_day_listens").alias("avg_first_day_listens"),
+            F.avg("first_day_sessions").alias("avg_first_day_sessions"),
+            F.avg("first_day_listen_plus_rate").alias("avg_first_day_listen_plus_rate"),
+        )
+    sizes = per_day.where(F.col("lifetime_day") == 0).select(
+        *_BUCKETS, F.col("retained_users").alias("cohort_users"), "avg_first_day_listens",
+        "avg_first_day_sessions", "avg_first_day_listen_plus_rate")
     grid = _grid(sizes, horizon(base))
-    joined = grid.join(_retained(rows), list(RETENTION_KEY), "left")
+    joined = grid.join(per_day.select(*RETENTION_KEY, "retained_users"), list(RETENTION_KEY), "left")
     retained = F.coalesce(F.col("retained_users"), F.lit(0).cast("bigint"))
     return joined.select(
         "cohort_day", "lifetime_day", "recommendation_bucket", "engagement_bucket",
