@@ -34,11 +34,6 @@ def _not_between(c: str, lo=0, hi=1) -> Column:
     return ~F.col(c).between(lo, hi)
 
 
-def _is_unique(df: DataFrame, *keys: str) -> Column:
-    s = scalars(df, rows=cnt(), keys=F.count_distinct(F.struct(*keys)))
-    return s["rows"] == s["keys"]
-
-
 def funnel_monotonic(funnel: DataFrame) -> DataFrame:
     """Funnel rows with the previous step's events (four rows)."""
     return funnel.withColumn("previous_events", F.lag("events").over(Window.orderBy("step_order")))

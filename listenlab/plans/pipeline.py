@@ -18,6 +18,7 @@ Function map (one per step of the original tool): ``prepare_events``,
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -70,7 +71,8 @@ def prepare_events(spark: SparkSession, source_path: str | None, stage_path: str
     profile = source.source_profile(src).first().asDict()
     if profile["required_nulls"] != 0 or profile["invalid_event_type"] != 0:
         raise ValueError(f"source gate failed: {profile}")
-    written = _write_observed(stage_ops.stage_events(src, settings), stage_path, ["uid", "day_idx"])
+    # no sort: the window already leaves rows clustered by user and time
+    written = _write_observed(stage_ops.stage_events(src, settings), stage_path, [])
     if written["rows"] != profile["events"]:
         raise RuntimeError(f"stage rows {written['rows']} != source rows {profile['events']}")
     return profile
@@ -135,6 +137,14 @@ def validate_all_marts(spark, stage_path: str, mart_dir: str) -> dict[str, bool]
         m["mart_retention_cohort"], m["mart_track"], m["mart_recommendation_funnel"]))
 
 
+def _concurrently(jobs: dict) -> dict:
+    """Run independent write jobs from driver threads (the marts only share
+    their written inputs); Spark schedules their stages side by side."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = {name: pool.submit(fn) for name, fn in jobs.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def _write_report(spark: SparkSession, report: dict, path: str) -> None:
     """The (small, fixed-shape) report dict as indented UTF-8 JSON text."""
     text = json.dumps(report, ensure_ascii=False, indent=2, default=str)
@@ -159,15 +169,16 @@ def build_marts(spark: SparkSession, source_path: str | None, output_dir: str, s
     write_parquet(user_day_base(_stage(spark, stage_path)), stage_path.rstrip("/") + BASE_FILE)
 
     paths = {name: _p(output_dir, f) for name, f in MART_FILES.items()}
-    summaries = {
-        "mart_product_day": build_product_mart(spark, stage_path, paths["mart_product_day"]),
-        "mart_recommendation_funnel": build_recommendation_funnel(
+    builders = {
+        "mart_product_day": lambda: build_product_mart(spark, stage_path, paths["mart_product_day"]),
+        "mart_recommendation_funnel": lambda: build_recommendation_funnel(
             spark, stage_path, paths["mart_recommendation_funnel"]),
-        "mart_user": build_user_mart(spark, stage_path, paths["mart_user"]),
-        "mart_user_day": build_user_day_mart(spark, stage_path, paths["mart_user_day"]),
-        "mart_retention_cohort": build_retention_mart(spark, stage_path, paths["mart_retention_cohort"]),
-        "mart_track": build_track_mart(spark, stage_path, paths["mart_track"], settings),
+        "mart_user": lambda: build_user_mart(spark, stage_path, paths["mart_user"]),
+        "mart_user_day": lambda: build_user_day_mart(spark, stage_path, paths["mart_user_day"]),
+        "mart_retention_cohort": lambda: build_retention_mart(spark, stage_path, paths["mart_retention_cohort"]),
+        "mart_track": lambda: build_track_mart(spark, stage_path, paths["mart_track"], settings),
     }
+    summaries = _concurrently(builders)
     result = validate_all_marts(spark, stage_path, output_dir)
     report = {
         "source": {k: profile[k] for k in ("events", "listens", "users", "items")},
@@ -248,12 +259,16 @@ def export_all(spark: SparkSession, mart_dir: str, output_dir: str, settings: Se
                single_file: bool = True) -> dict:
     """Write the five dashboard extracts as CSV, check them, report rows,
     thresholds and file sizes."""
-    frames = {"product_day": export_product(spark, mart_dir, output_dir, single_file)}
-    frames["track_quality"], thresholds = export_tracks(spark, mart_dir, output_dir)
-    frames["retention_cohort"] = export_retention(spark, mart_dir, output_dir, single_file)
-    frames["recommendation_funnel"] = export_funnel(spark, mart_dir, output_dir)
-    frames["recommendation_quality"] = export_source_quality(_mart(spark, mart_dir, "mart_product_day"),
-                                                             output_dir)
+    done = _concurrently({
+        "product_day": lambda: export_product(spark, mart_dir, output_dir, single_file),
+        "track_quality": lambda: export_tracks(spark, mart_dir, output_dir),
+        "retention_cohort": lambda: export_retention(spark, mart_dir, output_dir, single_file),
+        "recommendation_funnel": lambda: export_funnel(spark, mart_dir, output_dir),
+        "recommendation_quality": lambda: export_source_quality(
+            _mart(spark, mart_dir, "mart_product_day"), output_dir),
+    })
+    frames = dict(done)
+    frames["track_quality"], thresholds = done["track_quality"]
     result = validate_exports(spark, frames, output_dir, settings.track_min_listens)
     written = spark.read.text(_p(output_dir, "*/*.csv"))
     files = written.select("_metadata.file_path", "_metadata.file_size").distinct().collect()

@@ -7,9 +7,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from listenlab.operators import funnel, product, retention, source, stage as stage_ops, track, user
+from listenlab.functions.measures import cnt, count_if
+from listenlab.operators import checks, exports, funnel, product, reports, retention, source, \
+    stage as stage_ops, summary, track, user
 from listenlab.operators.base import user_day_base
+from listenlab.plans.materialize import materialize
+from listenlab.settings import DEFAULT
 from listenlab.sources import load_fixture
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,12 +84,6 @@ register("cohort_grid")(lambda spark, d: retention.cohort_grid(_base(spark, d)))
 
 
 # --- checks, summaries, reports, KPIs, extracts ------------------------------
-from pyspark.sql import functions as F  # noqa: E402
-
-from listenlab.functions.measures import cnt, count_if  # noqa: E402
-from listenlab.operators import checks, exports, reports, summary  # noqa: E402
-from listenlab.plans.materialize import materialize  # noqa: E402
-from listenlab.settings import DEFAULT  # noqa: E402
 
 # Parameters at the test scale: the fixture spans 30 days and
 # its tracks have far fewer listens than the real log.
