@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listenlab.functions.measures import cnt, count_if
+from listenlab.functions.measures import cnt, count_if, exact_sum
 
 
 ADDITIVE = (
@@ -49,7 +49,7 @@ def measure_map() -> dict:
         "unlikes": count_if(etype == "unlike"),
         "undislikes": count_if(etype == "undislike"),
         "sessions": count_if(F.col("is_session_start")),
-        "play_seconds": F.sum("play_seconds"),
+        "play_seconds": exact_sum("play_seconds"),  # DECIMAL until the marts
     }
 
 

@@ -66,7 +66,7 @@ def product_day(stage: DataFrame, base: DataFrame | None = None) -> DataFrame:
         F.sum("organic_replays").alias("organic_replays"),
         F.sum("likes").alias("likes"),
         F.sum("dislikes").alias("dislikes"),
-        F.sum("play_seconds").alias("play_seconds"),
+        F.sum("play_seconds").cast("double").alias("play_seconds"),
         F.sum("sessions").alias("sessions"),
         count_if(has_listen & (F.col("likes") > 0)).alias("listener_likers"),
         count_if(has_listen & (F.col("dislikes") > 0)).alias("listener_dislikers"),

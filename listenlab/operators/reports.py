@@ -1,8 +1,8 @@
 """Named analysis reports over the marts, and the dashboard KPIs.
 
 Display rounding follows the origin of each number: SQL ``round`` (half
-away from zero) is ``F.round``; frames rounded as a whole after the query
-(half to even) use ``F.bround``. Rounding is applied here only, never in
+away from zero) is ``sql_round``; frames rounded as a whole after the query
+(half to even) use ``frame_round``. Rounding is applied here only, never in
 marts. Dashboard-only filters are parameters with the documented defaults.
 """
 
@@ -14,14 +14,17 @@ from pyspark.sql import functions as F
 from listenlab.functions.labels import (
     ENGAGEMENT_ORDER, FUNNEL_REPORT_NAMES, RECOMMENDATION_ORDER, label_order, quality_segment,
 )
-from listenlab.functions.measures import cnt, count_if, pct, ratio, sum_if
+from listenlab.functions.measures import (
+    cnt, count_if, exact_avg, exact_sum, exact_sum_if, frame_round, pct, ratio, sql_round, sum_if,
+)
 from listenlab.settings import DEFAULT, Settings
 
 
 def _bround_doubles(df: DataFrame, digits: int = 2) -> DataFrame:
-    """Round every double column half-to-even (a whole-frame display round)."""
+    """Round every double column like a data frame's ``round`` (half to even
+    on the binary value): the whole-frame display round of the notebooks."""
     return df.select(*[
-        F.bround(F.col(f.name), digits).alias(f.name) if f.dataType.simpleString() == "double"
+        frame_round(F.col(f.name), digits).alias(f.name) if f.dataType.simpleString() == "double"
         else F.col(f.name) for f in df.schema.fields
     ])
 
@@ -36,7 +39,7 @@ def product_summary(product: DataFrame) -> DataFrame:
         F.sum("listens").alias("listens"),
         F.median("active_users").alias("median_dau"),
         F.sum("sessions").alias("sessions"),
-        (F.try_divide(F.sum("play_seconds"), F.sum("active_users").cast("double")) / 60.0)
+        (F.try_divide(exact_sum("play_seconds").cast("double"), F.sum("active_users").cast("double")) / 60.0)
         .alias("minutes_per_active_user"),
         pct(F.sum("listen_plus"), F.sum("listens")).alias("listen_plus_pct"),
         pct(F.sum("recommendation_listens"), F.sum("listens")).alias("recommendation_pct"),
@@ -77,11 +80,11 @@ def daily_preview(product: DataFrame, days: int = 10) -> DataFrame:
     """The first ``days`` days with rounded display rates."""
     return product.select(
         "day_idx", "active_users", "listeners", "listens", "sessions",
-        F.round("minutes_per_active_user", 2).alias("minutes_per_active_user"),
-        F.round(F.col("listen_plus_rate") * 100, 2).alias("listen_plus_pct"),
-        F.round(F.col("recommendation_share") * 100, 2).alias("recommendation_pct"),
-        F.round("likes_per_1000_listens", 2).alias("likes_per_1000"),
-        F.round("dislikes_per_1000_listens", 2).alias("dislikes_per_1000"),
+        sql_round("minutes_per_active_user", 2).alias("minutes_per_active_user"),
+        sql_round(F.col("listen_plus_rate") * 100, 2).alias("listen_plus_pct"),
+        sql_round(F.col("recommendation_share") * 100, 2).alias("recommendation_pct"),
+        sql_round("likes_per_1000_listens", 2).alias("likes_per_1000"),
+        sql_round("dislikes_per_1000_listens", 2).alias("dislikes_per_1000"),
     ).orderBy("day_idx").limit(days)
 
 
@@ -94,7 +97,7 @@ def user_summary(user: DataFrame) -> DataFrame:
         F.avg("active_days").alias("avg_active_days"),
         F.median("listens").alias("median_listens"),
         F.median("sessions").alias("median_sessions"),
-        (F.avg("recommendation_share") * 100).alias("avg_user_recommendation_pct"),
+        (exact_avg("recommendation_share") * 100).alias("avg_user_recommendation_pct"),
     ))
 
 
@@ -119,7 +122,7 @@ def retention_by_recommendations(retention: DataFrame, lifetime_days=(1, 7, 30))
     d0 = F.col("lifetime_day") == 0
     out = retention.groupBy("recommendation_bucket").agg(
         sum_if(d0, "cohort_users").alias("users"),
-        F.try_divide(sum_if(d0, F.col("avg_first_day_listens") * F.col("cohort_users")),
+        F.try_divide(exact_sum_if(d0, F.col("avg_first_day_listens") * F.col("cohort_users")).cast("double"),
                      sum_if(d0, "cohort_users").cast("double")).alias("avg_first_day_listens"),
         *[_dn(n) for n in lifetime_days],
     )
@@ -209,8 +212,8 @@ def quality_segments(track: DataFrame) -> DataFrame:
     out = segmented_tracks(track, attention_wins=False).groupBy("quality_segment").agg(
         cnt().alias("tracks"),
         F.sum("listens").alias("listens"),
-        (F.avg("listen_plus_rate") * 100).alias("avg_listen_plus_pct"),
-        F.avg("dislikes_per_1000_listens").alias("avg_dislikes_per_1000"),
+        (exact_avg("listen_plus_rate") * 100).alias("avg_listen_plus_pct"),
+        exact_avg("dislikes_per_1000_listens").alias("avg_dislikes_per_1000"),
     )
     return _bround_doubles(out).orderBy(F.desc("tracks"), "quality_segment")
 
@@ -220,10 +223,10 @@ def popular_tracks(track: DataFrame, k: int = 10) -> DataFrame:
     ranked = track.where(F.col("is_reliable_sample")).orderBy(F.desc("listens"), "item_id").limit(k)
     return ranked.select(
         "item_id", "listens", "listeners",
-        F.round(F.col("listen_plus_rate") * 100, 2).alias("listen_plus_pct"),
-        F.round(F.col("recommendation_share") * 100, 2).alias("recommendation_pct"),
-        F.round("likes_per_1000_listens", 2).alias("likes_per_1000"),
-        F.round("dislikes_per_1000_listens", 2).alias("dislikes_per_1000"),
+        sql_round(F.col("listen_plus_rate") * 100, 2).alias("listen_plus_pct"),
+        sql_round(F.col("recommendation_share") * 100, 2).alias("recommendation_pct"),
+        sql_round("likes_per_1000_listens", 2).alias("likes_per_1000"),
+        sql_round("dislikes_per_1000_listens", 2).alias("dislikes_per_1000"),
     )
 
 
@@ -234,9 +237,9 @@ def problem_tracks(track: DataFrame, k: int = 10) -> DataFrame:
     ).limit(k)
     return ranked.select(
         "item_id", "listens", "listeners",
-        F.round(F.col("listen_plus_rate") * 100, 2).alias("listen_plus_pct"),
-        F.round("dislikes_per_1000_listens", 2).alias("dislikes_per_1000"),
-        F.round(F.col("recommendation_share") * 100, 2).alias("recommendation_pct"),
+        sql_round(F.col("listen_plus_rate") * 100, 2).alias("listen_plus_pct"),
+        sql_round("dislikes_per_1000_listens", 2).alias("dislikes_per_1000"),
+        sql_round(F.col("recommendation_share") * 100, 2).alias("recommendation_pct"),
     )
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from listenlab.functions.labels import engagement_bucket, recommendation_bucket
-from listenlab.functions.measures import cnt, ratio
+from listenlab.functions.measures import cnt, exact_avg, ratio
 from listenlab.operators.base import user_day_base
 
 RETENTION_KEY = ("cohort_day", "lifetime_day", "recommendation_bucket", "engagement_bucket")
@@ -77,7 +77,7 @@ def _sizes(cohorts: DataFrame) -> DataFrame:
         cnt().alias("cohort_users"),
         F.avg("first_day_listens").alias("avg_first_day_listens"),
         F.avg("first_day_sessions").alias("avg_first_day_sessions"),
-        F.avg("first_day_listen_plus_rate").alias("avg_first_day_listen_plus_rate"),
+        exact_avg("first_day_listen_plus_rate").alias("avg_first_day_listen_plus_rate"),
     )
 
 
@@ -128,7 +128,7 @@ def retention_cohort(stage: DataFrame, base: DataFrame | None = None) -> DataFra
             cnt().alias("retained_users"),
             F.avg("first_day_listens").alias("avg_first_day_listens"),
             F.avg("first_day_sessions").alias("avg_first_day_sessions"),
-            F.avg("first_day_listen_plus_rate").alias("avg_first_day_listen_plus_rate"),
+            exact_avg("first_day_listen_plus_rate").alias("avg_first_day_listen_plus_rate"),
         )
     sizes = per_day.where(F.col("lifetime_day") == 0).select(
         *_BUCKETS, F.col("retained_users").alias("cohort_users"), "avg_first_day_listens",

@@ -1,4 +1,4 @@
-"""Source profile, gate and the stage table (cleaned, flagged, sessionized).
+"""The stage table: cleaned, flagged and sessionized events.
 
 Sessionization: an event starts a session when the same user's previous
 event (ordered by timestamp, item_id, event_type; all event types take part)

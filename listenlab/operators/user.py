@@ -31,6 +31,7 @@ def user_day(stage: DataFrame, base: DataFrame | None = None) -> DataFrame:
     base = user_day_base(stage) if base is None else base
     tracks = _distinct_listened(stage, ["uid", "day_idx"])
     joined = base.join(tracks, ["uid", "day_idx"], "left")
+    joined = joined.withColumn("play_seconds", F.col("play_seconds").cast("double"))
     return joined.select(
         "uid", "day_idx", "events", "listens",
         F.coalesce("unique_tracks", F.lit(0).cast("bigint")).alias("unique_tracks"),
@@ -52,7 +53,8 @@ def user_mart(stage: DataFrame, base: DataFrame | None = None) -> DataFrame:
         cnt().alias("active_days"),
         *[F.sum(c).alias(c) for c in (
             "events", "listens", "listen_plus", "recommendation_listens", "replays", "likes",
-            "dislikes", "unlikes", "undislikes", "play_seconds", "sessions")],
+            "dislikes", "unlikes", "undislikes", "sessions")],
+        F.sum("play_seconds").cast("double").alias("play_seconds"),
     )
     tracks = _distinct_listened(stage, ["uid"])
     joined = per_user.join(tracks, "uid", "left")

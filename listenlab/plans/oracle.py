@@ -87,3 +87,15 @@ def R(num: str, den: str, scale: str = "") -> str:
     """Ratio as DOUBLE, NULL on zero denominator."""
     mul = f" * {scale}" if scale else ""
     return f"CAST({num} AS DOUBLE){mul} / nullif({den}, 0)"
+
+
+def XSUM(expr: str, where: str = "") -> str:
+    """Exact (DECIMAL) sum of a double expression, returned as DOUBLE."""
+    f = f" FILTER (WHERE {where})" if where else ""
+    return f"CAST(sum(CAST({expr} AS DECIMAL(38,10))){f} AS DOUBLE)"
+
+
+def XAVG(expr: str, where: str = "") -> str:
+    """Exact mean of a double expression: exact sum / count, NULL when empty."""
+    f = f" FILTER (WHERE {where})" if where else ""
+    return f"({XSUM(expr, where)} / nullif(count({expr}){f}, 0))"

@@ -80,3 +80,16 @@ def test_day_index_truncates(spark):
     days = sorted(r.day_idx for r in st.stage_events(interactions(spark, rows)).collect())
     assert days == [0, 1]
     assert F  # keep import used
+
+
+def test_hot_user_is_split_across_window_partitions(spark):
+    # the fixture gives uid 3 about a third of all rows; with the split
+    # window no (uid, slice) partition holds more than a sliver of them
+    src = load_fixture(spark, SF01)
+    total = src.count()
+    hot = src.where("uid = 3").count()
+    assert hot / total > 0.25
+    split = DEFAULT.session_split_seconds
+    per_part = src.groupBy("uid", F.expr(f"timestamp div {split}")).count()
+    largest = per_part.agg(F.max("count")).first()[0]
+    assert largest <= 0.01 * total, (largest, total)
