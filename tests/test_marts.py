@@ -137,3 +137,19 @@ def test_reports_round_like_their_origin(spark):
     r = df.select(F.round("a", 2).alias("a"), F.bround("b", 2).alias("b")).first()
     assert (r.a, r.b) == (0.13, 0.12)                                 # T7
     assert reports  # module import used
+
+
+def test_marts_do_not_depend_on_partitioning(spark):
+    # exact sums: the same input split differently gives bit-identical doubles
+    from conftest import SF01
+    from listenlab.sources import load_fixture
+
+    src = load_fixture(spark, SF01)
+    out = []
+    for n in (3, 17):
+        shuffled = src.repartition(n)
+        s = st.stage_events(shuffled)
+        u = user.user_mart(s).select("uid", "play_seconds", "minutes_per_session")
+        p = product.product_day(s).select("day_idx", "play_seconds", "minutes_per_active_user")
+        out.append((sorted(map(tuple, u.collect())), sorted(map(tuple, p.collect()))))
+    assert out[0] == out[1]
