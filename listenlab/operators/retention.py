@@ -115,12 +115,15 @@ def cohort_grid(base: DataFrame) -> DataFrame:
 
 
 def retention_cohort(stage: DataFrame, base: DataFrame | None = None) -> DataFrame:
-    """R8, ``mart_retention_cohort``: grid left-joined with retained users.
-
-    One aggregation serves both sides: every cohort user listens on lifetime
-    day 0, so the lifetime-0 groups of the retained counts are the cohort
-    sizes, and their averages are the first-day averages. The per-user
-    window runs once."""
+    """R8, ``mart_retention_cohort``: the zero-filled grid of retained users.
+
+    One pass, no join. Retained users are counted per (cohort, buckets,
+    lifetime day); every cohort user listens on lifetime day 0, so that row
+    is the cohort size and its averages are the first-day averages. A window
+    over each cohort group (at most horizon + 1 rows) hands every row the
+    cohort values and the next lifetime day present; each row then emits
+    itself plus zero rows for the missing days up to that next day (the last
+    one up to the horizon)."""
     base = user_day_base(stage) if base is None else base
     rows = _bucketed(with_cohort(base)).where(F.col("cohort_day").isNotNull())
     per_day = rows.where((F.col("listens") > 0) & (F.col("day_idx") >= F.col("cohort_day"))) \
@@ -130,13 +133,25 @@ def retention_cohort(stage: DataFrame, base: DataFrame | None = None) -> DataFra
             F.avg("first_day_sessions").alias("avg_first_day_sessions"),
             exact_avg("first_day_listen_plus_rate").alias("avg_first_day_listen_plus_rate"),
         )
-    sizes = per_day.where(F.col("lifetime_day") == 0).select(
-        *_BUCKETS, F.col("retained_users").alias("cohort_users"), "avg_first_day_listens",
-        "avg_first_day_sessions", "avg_first_day_listen_plus_rate")
-    grid = _grid(sizes, horizon(base))
-    joined = grid.join(per_day.select(*RETENTION_KEY, "retained_users"), list(RETENTION_KEY), "left")
-    retained = F.coalesce(F.col("retained_users"), F.lit(0).cast("bigint"))
-    return joined.select(
+    group = Window.partitionBy(*_BUCKETS)
+    day_zero = F.col("lifetime_day") == 0
+
+    def at_day_zero(c: str):
+        return F.max(F.when(day_zero, F.col(c))).over(group)
+
+    next_day = F.lead("lifetime_day").over(group.orderBy("lifetime_day"))
+    spans = per_day.select(
+        *_BUCKETS, F.col("lifetime_day").alias("_present"), F.col("retained_users").alias("_retained"),
+        at_day_zero("retained_users").alias("cohort_users"),
+        at_day_zero("avg_first_day_listens").alias("avg_first_day_listens"),
+        at_day_zero("avg_first_day_sessions").alias("avg_first_day_sessions"),
+        at_day_zero("avg_first_day_listen_plus_rate").alias("avg_first_day_listen_plus_rate"),
+        F.coalesce(next_day - 1, horizon(base) - F.col("cohort_day")).alias("_until"),
+    )
+    filled = spans.withColumn("lifetime_day", F.explode(F.sequence(F.col("_present"), F.col("_until"))))
+    retained = F.when(F.col("lifetime_day") == F.col("_present"), F.col("_retained")) \
+        .otherwise(F.lit(0).cast("bigint"))
+    return filled.select(
         "cohort_day", "lifetime_day", "recommendation_bucket", "engagement_bucket",
         "cohort_users", retained.alias("retained_users"),
         ratio(retained, "cohort_users").alias("retention_rate"),
