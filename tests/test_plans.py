@@ -45,3 +45,13 @@ def test_reliable_filter_reaches_the_scan(spark, tmp_path):
     t = spark.read.parquet(str(tmp_path / "track"))
     tree = exports.export_track_quality(t)._jdf.queryExecution().executedPlan().treeString()
     assert "PushedFilters: [IsNotNull(is_reliable_sample), EqualTo(is_reliable_sample,true)]" in tree
+
+
+def test_retention_is_one_pass_without_join(spark, tmp_path):
+    from listenlab.operators import retention
+
+    load_fixture(spark, SF001).write.parquet(str(tmp_path / "src"))
+    st.stage_events(read_interactions(spark, str(tmp_path / "src"))).write.parquet(str(tmp_path / "stage"))
+    plan = _plan(retention.retention_cohort(spark.read.parquet(str(tmp_path / "stage"))))
+    assert "Join" not in plan
+    assert plan.count("Window [") == 3     # per-user cohort lookup + per-cohort gap fill
