@@ -7,6 +7,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Bucket edges.
+SHARE_EDGES = (0.25, 0.50, 0.75)          # share buckets: 0 | (0,.25] | (.25,.5] | (.5,.75] | (.75,1) | 1
+ENGAGEMENT_EDGES = (10, 30, 60)           # first-day listens: 1-10 | 11-30 | 31-60 | 61+
+LENGTH_EDGES = (120, 180, 240, 300)       # track seconds, left-closed bins
+
 # Retention bucket labels (hyphen) and their order.
 RECOMMENDATION_ORDER = {"0%": 1, "1-25%": 2, "25-50%": 3, "50-75%": 4, "75-99%": 5, "100%": 6}
 ENGAGEMENT_ORDER = {"1-10": 1, "11-30": 2, "31-60": 3, "61+": 4}
@@ -45,21 +50,23 @@ def label_order(col, mapping: dict[str, int]) -> Column:
 
 def recommendation_bucket(share: Column, sep: str = "-") -> Column:
     """Share buckets 0, (0,.25], (.25,.5], (.5,.75], (.75,1), else 100%."""
+    a, b, c = SHARE_EDGES
     return (
         F.when(share == 0, F.lit("0%"))
-        .when(share <= 0.25, F.lit(f"1{sep}25%"))
-        .when(share <= 0.50, F.lit(f"25{sep}50%"))
-        .when(share <= 0.75, F.lit(f"50{sep}75%"))
+        .when(share <= a, F.lit(f"1{sep}25%"))
+        .when(share <= b, F.lit(f"25{sep}50%"))
+        .when(share <= c, F.lit(f"50{sep}75%"))
         .when(share < 1, F.lit(f"75{sep}99%"))
         .otherwise(F.lit("100%"))
     )
 
 
 def engagement_bucket(listens: Column) -> Column:
+    a, b, c = ENGAGEMENT_EDGES
     return (
-        F.when(listens <= 10, F.lit("1-10"))
-        .when(listens <= 30, F.lit("11-30"))
-        .when(listens <= 60, F.lit("31-60"))
+        F.when(listens <= a, F.lit("1-10"))
+        .when(listens <= b, F.lit("11-30"))
+        .when(listens <= c, F.lit("31-60"))
         .otherwise(F.lit("61+"))
     )
 
@@ -67,23 +74,25 @@ def engagement_bucket(listens: Column) -> Column:
 def track_length_bucket(seconds: Column) -> Column:
     """Left-closed bins [-inf,120), [120,180), [180,240), [240,300), [300,inf);
     NULL stays NULL (no ``otherwise``)."""
+    a, b, c, d = LENGTH_EDGES
     return (
-        F.when(seconds < 120, F.lit("до 2 мин"))
-        .when(seconds < 180, F.lit("2–3 мин"))
-        .when(seconds < 240, F.lit("3–4 мин"))
-        .when(seconds < 300, F.lit("4–5 мин"))
-        .when(seconds >= 300, F.lit("5+ мин"))
+        F.when(seconds < a, F.lit("до 2 мин"))
+        .when(seconds < b, F.lit("2–3 мин"))
+        .when(seconds < c, F.lit("3–4 мин"))
+        .when(seconds < d, F.lit("4–5 мин"))
+        .when(seconds >= d, F.lit("5+ мин"))
     )
 
 
 def track_share_bucket(share: Column) -> Column:
     """Successive overwrites of the extract: 100% by default, then <1, <=.75,
     <=.5, (0,.25], ==0. A NULL share stays in 100%."""
+    a, b, c = SHARE_EDGES
     return (
         F.when(share == 0, F.lit("0%"))
-        .when((share > 0) & (share <= 0.25), F.lit("1–25%"))
-        .when(share <= 0.50, F.lit("25–50%"))
-        .when(share <= 0.75, F.lit("50–75%"))
+        .when((share > 0) & (share <= a), F.lit("1–25%"))
+        .when(share <= b, F.lit("25–50%"))
+        .when(share <= c, F.lit("50–75%"))
         .when(share < 1, F.lit("75–99%"))
         .otherwise(F.lit("100%"))
     )

@@ -146,6 +146,7 @@ def track_columns_contract(track: DataFrame,
 # --- export checks -----------------------------------------------------------
 # NULL rates fail here (a NULL is not within range), unlike the mart checks.
 
+# Text that marks a broken encoding in an extract.
 BAD_TEXT = ("???", "\ufffd")
 
 

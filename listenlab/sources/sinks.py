@@ -12,7 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Extract text format.
 BOM = "\ufeff"
+FLOAT_FORMAT = "%.8f"
 
 
 def write_parquet(df: DataFrame, path: str, sort_keys: list[str] | None = None,
@@ -35,7 +37,7 @@ def csv_frame(df: DataFrame) -> DataFrame:
     for i, f in enumerate(df.schema.fields):
         c, t = F.col(f"`{f.name}`"), f.dataType.simpleString()
         if t in ("double", "float") or t.startswith("decimal"):
-            v = F.when(c.isNotNull(), F.format_string("%.8f", c.cast("double")))
+            v = F.when(c.isNotNull(), F.format_string(FLOAT_FORMAT, c.cast("double")))
         elif t == "boolean":
             v = F.initcap(c.cast("string"))
         else:
