@@ -10,8 +10,9 @@ user may own a third of the log. The window is therefore split into
 Inside a slice ``lag`` gives the previous event; for the first event of a
 slice the previous event is the last one of the user's preceding non-empty
 slice. Those carry-over values come from a small per-(uid, slice) aggregate
-(partially aggregated before its shuffle) and enter the window as one marker
-row per slice that sorts before every real row of the slice. One hash
+(partially aggregated before its shuffle) and enter the window as a marker
+row that sorts before every real row of the slice -- only for slices where a
+session continues across the boundary. One hash
 exchange on (uid, slice) feeds the window; no join and no per-user task.
 """
 
@@ -56,14 +57,18 @@ def with_session_starts(flagged: DataFrame, settings: Settings = DEFAULT) -> Dat
     rows = flagged.withColumn("_slice", F.expr(f"timestamp div {split}")) \
         .withColumn("_marker", F.lit(False))
 
-    # Last timestamp of each (uid, slice), then the value of the previous
-    # non-empty slice of the same user. The per-user window runs over slices
-    # (bounded by time span / split), not over events.
-    slice_last = rows.groupBy("uid", "_slice").agg(F.max("timestamp").alias("_last"))
-    carried = slice_last.select(
-        "uid", "_slice",
+    # First and last timestamp of each (uid, slice), then the last timestamp
+    # of the user's previous non-empty slice. The per-user window runs over
+    # slices (bounded by time span / split), not over events. A marker is
+    # needed only where a session continues across the slice boundary;
+    # elsewhere the slice's first event starts a session, which an empty
+    # ``lag`` already says.
+    slice_span = rows.groupBy("uid", "_slice").agg(
+        F.min("timestamp").alias("_first"), F.max("timestamp").alias("_last"))
+    carried = slice_span.select(
+        "uid", "_slice", "_first",
         F.lag("_last").over(Window.partitionBy("uid").orderBy("_slice")).alias("timestamp"),
-    ).where(F.col("timestamp").isNotNull())
+    ).where(F.col("timestamp").isNotNull() & (F.col("_first") - F.col("timestamp") <= gap))
     markers = carried.select(
         *[F.col(c) if c in ("uid", "timestamp", "_slice")
           else F.lit(None).cast(flagged.schema[c].dataType).alias(c)
