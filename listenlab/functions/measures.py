@@ -80,6 +80,13 @@ def frame_round(value, digits: int) -> Column:
     return F.rint(_c(value) * F.lit(m)) / F.lit(m)
 
 
+def distinct_count(df, column: str) -> Column:
+    """``count(DISTINCT column)`` of ``df`` as a scalar subquery: a one-column
+    scan, deduplicated map-side, instead of an ``Expand`` of every row when
+    several distinct counts share one aggregate."""
+    return df.where(F.col(column).isNotNull()).select(column).distinct().agg(cnt()).scalar()
+
+
 def ratio(num, den, scale: float = 1.0) -> Column:
     """``num * scale / nullif(den, 0)`` as DOUBLE; NULL on a zero denominator."""
     numerator = _c(num).cast("double")

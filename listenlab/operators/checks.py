@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from listenlab.functions.measures import cnt, count_if
+from listenlab.functions.measures import cnt, count_if, distinct_count
 
 RETENTION_KEY = ("cohort_day", "lifetime_day", "recommendation_bucket", "engagement_bucket")
 
@@ -42,9 +42,9 @@ def funnel_monotonic(funnel: DataFrame) -> DataFrame:
 def mart_checks(stage: DataFrame, product: DataFrame, user: DataFrame, user_day: DataFrame,
                 retention: DataFrame, track: DataFrame, funnel: DataFrame) -> DataFrame:
     """The eleven cross-mart checks, one row each."""
-    anchor = stage.agg(
-        cnt().alias("events"), count_if("is_listen").alias("listens"),
-        F.count_distinct("uid").alias("users"), F.count_distinct("item_id").alias("tracks"),
+    anchor = stage.agg(cnt().alias("events"), count_if("is_listen").alias("listens")).select(
+        "events", "listens",
+        distinct_count(stage, "uid").alias("users"), distinct_count(stage, "item_id").alias("tracks"),
     )
     p = scalars(
         product, events=F.sum("events"), listens=F.sum("listens"),
