@@ -226,9 +226,11 @@ def export_tracks(spark, mart_dir: str, output_dir: str) -> tuple[DataFrame, dic
     return df, exports.track_thresholds(t).first().asDict()
 
 
-def export_retention(spark, mart_dir: str, output_dir: str, single_file: bool = True) -> DataFrame:
+def export_retention(spark, mart_dir: str, output_dir: str) -> DataFrame:
+    """Cohort x buckets x lifetime days (grows with the square of the day
+    span): written multi-part, like the track extract."""
     df = exports.export_retention_cohort(_mart(spark, mart_dir, "mart_retention_cohort"))
-    write_csv(df, _p(output_dir, EXTRACT_FILES["retention_cohort"]), single_file)
+    write_csv(df, _p(output_dir, EXTRACT_FILES["retention_cohort"]), single_file=False)
     return df
 
 
@@ -262,7 +264,7 @@ def export_all(spark: SparkSession, mart_dir: str, output_dir: str, settings: Se
     done = _concurrently({
         "product_day": lambda: export_product(spark, mart_dir, output_dir, single_file),
         "track_quality": lambda: export_tracks(spark, mart_dir, output_dir),
-        "retention_cohort": lambda: export_retention(spark, mart_dir, output_dir, single_file),
+        "retention_cohort": lambda: export_retention(spark, mart_dir, output_dir),
         "recommendation_funnel": lambda: export_funnel(spark, mart_dir, output_dir),
         "recommendation_quality": lambda: export_source_quality(
             _mart(spark, mart_dir, "mart_product_day"), output_dir),

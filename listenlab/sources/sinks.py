@@ -4,7 +4,7 @@ CSV format of the extracts: header row, a byte-order mark before the first
 header, floats as ``%.8f``, NULL as an empty field, booleans as
 ``True``/``False``. Spark writes a folder of part files; small extracts can
 be written as one part (``single_file``), which routes the rows through one
-task -- only for frames whose size is bounded (day-, step- or cohort-grain).
+task -- only for frames of a few thousand rows at most (day or step grain).
 """
 
 from __future__ import annotations
