@@ -153,3 +153,20 @@ def test_marts_do_not_depend_on_partitioning(spark):
         p = product.product_day(s).select("day_idx", "play_seconds", "minutes_per_active_user")
         out.append((sorted(map(tuple, u.collect())), sorted(map(tuple, p.collect()))))
     assert out[0] == out[1]
+
+
+def test_kpis_apply_dashboard_filters(spark):
+    # cohort day 0 is excluded from the retention cards; tracks below the
+    # listen threshold are excluded from the track cards
+    rows = [listen(1, 1, 0), listen(1, 1, DAY), listen(2, 2, DAY), listen(2, 2, 2 * DAY),
+            listen(3, 2, DAY + 10)]
+    s = _stage(spark, rows)
+    r = retention.retention_cohort(s)
+    k = {x.lifetime_day: (x.retained_users, x.cohort_users)
+         for x in reports.kpi_retention(r, lifetime_days=(1,)).collect()}
+    assert k == {1: (1, 2)}            # users 2 and 3 start on day 1; only user 2 returns
+    t = track.track_mart(s)
+    kt = reports.kpi_tracks(t, min_listens=3).first()
+    assert (kt.tracks, kt.listens) == (1, 3)
+    kp = reports.kpi_product(product.product_day(s), first_day=1).first()
+    assert kp.avg_dau == 2.0 and kp.listens_per_active_user == 1.0   # 4 listens / 4 active user-days

@@ -45,3 +45,12 @@ def test_contract_requires_columns(spark):
 def test_missing_source_raises_with_advice(spark):
     with pytest.raises(FileNotFoundError):
         read_interactions(spark, "/nonexistent/events.parquet")
+
+
+def test_source_manifest_checks_expected_rows(spark):
+    raw = spark.read.parquet(f"{SF01}/events.parquet")
+    ok = source.source_manifest(raw, expected_rows=10_000).collect()
+    assert len(ok) == 1 and ok[0].rows == 10_000 and ok[0].rows_match_expected is True
+    assert ok[0].file_size > 0
+    bad = source.source_manifest(raw, expected_rows=47_790_449).first()
+    assert bad.rows_match_expected is False
