@@ -1,7 +1,7 @@
 """Listening analytics on Spark: stage, marts, reports, checks and extracts.
 
 Every transformation is DataFrame -> DataFrame built from Spark's own
-expressions; only ``listenlab.plans.pipeline`` writes or triggers jobs.
+expressions; only ``listenlab.plans.jobs`` writes or triggers jobs.
 """
 
 from listenlab.settings import DEFAULT, EVENT_TYPES, Settings

@@ -1,4 +1,4 @@
-"""Business constants of the pipeline, carried as one frozen object."""
+"""Business constants of the marts, carried as one frozen object."""
 
 from __future__ import annotations
 

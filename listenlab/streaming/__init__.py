@@ -1,6 +1,6 @@
 """No streaming operators.
 
-The reference is a batch pipeline: every job reads a complete event log and
+The original tool is a batch job: every job reads a complete event log and
 replaces its outputs; it has no watermark, time window, stateful operator or
 late-data rule. Nothing here is needed to match it, so this package stays
 empty on purpose (see README, "Not built").

@@ -5,7 +5,7 @@ import json
 import os
 
 from conftest import SF001
-from listenlab.plans import pipeline
+from listenlab.plans import jobs
 from listenlab.settings import DEFAULT
 from listenlab.sources import load_fixture
 
@@ -14,7 +14,7 @@ def test_build_and_export(spark, tmp_path):
     out = str(tmp_path / "marts")
     src = load_fixture(spark, SF001)
     low = DEFAULT.with_(track_min_listens=20)  # sf0.001 tracks have < 100 listens
-    report = pipeline.build_marts(spark, None, out, source_df=src, settings=low)
+    report = jobs.build_marts(spark, None, out, source_df=src, settings=low)
     assert report["source"]["events"] == 890
     assert all(report["checks"].values()) and len(report["checks"]) == 11
     assert report["marts"]["mart_recommendation_funnel.parquet"]["rows"] == 4
@@ -27,12 +27,12 @@ def test_build_and_export(spark, tmp_path):
     assert json.loads(text)["definitions"]["session_gap_seconds"] == 1800
 
     # reuse the written stage: same marts
-    again = pipeline.build_marts(spark, None, out + "2", stage_path=f"{out}/_stage_events.parquet",
+    again = jobs.build_marts(spark, None, out + "2", stage_path=f"{out}/_stage_events.parquet",
                                  reuse_stage=True, source_df=src, settings=low)
     assert again["marts"] == report["marts"]
 
     exp = str(tmp_path / "exports")
-    er = pipeline.export_all(spark, out, exp, settings=low)
+    er = jobs.export_all(spark, out, exp, settings=low)
     assert er["rows"]["03_retention/recommendation_funnel.csv"] == 4
     assert er["rows"]["03_retention/recommendation_quality.csv"] == 2
     assert all(er["checks"].values())
