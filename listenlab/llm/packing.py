@@ -123,30 +123,19 @@ def best_fit_decreasing(counts: dict[int, int], limit: int) -> list[tuple[int, i
         rank, left = 0, counts[length]
         while left:
             capacity = bins.tightest(length)
+            room = limit if capacity is None else capacity
+            # a bin that takes one of them is then the tightest: it is filled before the next is touched
+            layers = min(room // length, left)
             if capacity is None:
-                # new bins take one document each until the first of them is the tightest again
-                per_bin = limit // length
-                fresh = -(-left // per_bin)
-                first, count, capacity = next_bin, fresh, limit
-                for k in range(per_bin):
-                    placed = min(count, left)
-                    if not placed:
-                        break
-                    runs.append((length, rank, rank + placed, first, k * length))
-                    rank, left = rank + placed, left - placed
-                    if placed < count:
-                        bins.add(limit - k * length, first + placed, count - placed) if k else None
-                    count = placed
-                    capacity = limit - (k + 1) * length
-                if capacity:
-                    bins.add(capacity, first, count)
-                next_bin += fresh
-                continue
-            first, count = bins.take(capacity, left)
-            runs.append((length, rank, rank + count, first, limit - capacity))
-            rank, left = rank + count, left - count
-            if capacity > length:
-                bins.add(capacity - length, first, count)
+                first, count = next_bin, left // layers
+                next_bin += count
+            else:
+                first, count = bins.take(capacity, left // layers)
+            for k in range(layers):
+                runs.append((length, rank, rank + count, first, limit - room + k * length))
+                rank, left = rank + count, left - count
+            if room > layers * length:
+                bins.add(room - layers * length, first, count)
     return runs
 
 

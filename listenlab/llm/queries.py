@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listenlab.llm import mixing, packing
+from listenlab.llm import licenses, mixing, packing, secrets_scan
+from listenlab.llm.shared import keep
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -18,6 +19,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("licenses", lambda p: p["base"])
+    starts = F.transform(base, lambda p: p["start"])
+    return scanned.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).cast("long").alias("first_word"), F.array_max(starts).cast("long").alias("last_word"),
+        licenses.joined_labels(base).alias("base_labels"), licenses.joined_labels(F.col("licenses")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("licenses", lambda p: p["score"])), F.lit(0.0)).alias("score"))
+
+
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    base = F.filter("secrets", lambda s: s["kind_no"] < len(secrets_scan.BASE_KINDS))
+    count = [secrets_scan.of_kind(F.col("secrets"), k).alias(f"n_{k.name}") for k in secrets_scan.BASE_KINDS]
+    spans = F.array_join(F.transform("secrets", secrets_scan.digest), ",")
+    base_sha = F.sha2(F.array_join(F.transform(base, secrets_scan.digest), ","), 256)
+    # without the texts: the rows that the ownership counts and the result are made from
+    found = keep(secrets_scan.scan(docs).select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", "source", *count, base_sha.alias("base_sha256"),
+        spans.alias("spans"), secrets_scan.values_of(F.col("secrets")).alias("values")), "secret-spans")
+    classed = secrets_scan.with_ownership(found, "row", "source", "doc_id")
+    return found.join(classed, "row", "left").select(
+        "doc_id", *[f"n_{k.name}" for k in secrets_scan.BASE_KINDS], "base_sha256", "spans",
+        F.coalesce(F.array_size("live_values"), F.lit(0)).cast("long").alias("n_live"),
+        F.coalesce(F.array_size("example_values"), F.lit(0)).cast("long").alias("n_example"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack(docs, public_tokenizers.path(TOKENIZER))
@@ -31,6 +60,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_license_scans": op2_license_scans,
+    "op7_secret_scans": op7_secret_scans,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_mixing": op10_mixing,
 }
