@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listenlab.llm import licenses, mixing, packing, secrets_scan
+from listenlab.llm import licenses, merkle, mixing, packing, secrets_scan
 from listenlab.llm.shared import keep
 
 TOKENIZER = "word_bpe_49k.json"
@@ -30,6 +30,19 @@ def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.array_max(F.transform("licenses", lambda p: p["score"])), F.lit(0.0)).alias("score"))
 
 
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = merkle.next_in_order(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = docs.withColumn("text", F.coalesce("text", F.lit("")))
+    docs = docs.withColumn("edited", merkle.edited(F.col("text"), F.col("next_text")))
+    own = docs.withColumns({"own": merkle.clauses(F.col("text"))})
+    return own.select(
+        "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        merkle.tree(F.col("text"))["root"].alias("fingerprint"),
+        merkle.tree(F.col("edited"))["root"].alias("edited_fingerprint"),
+        merkle.likeness(F.col("own"), merkle.clauses(F.col("edited"))).alias("near_edited"),
+        merkle.likeness(F.col("own"), merkle.clauses(F.col("next_text"))).alias("near_next"))
+
+
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     base = F.filter("secrets", lambda s: s["kind_no"] < len(secrets_scan.BASE_KINDS))
@@ -61,6 +74,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scans": op2_license_scans,
+    "op3_document_fingerprints": op3_document_fingerprints,
     "op7_secret_scans": op7_secret_scans,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_mixing": op10_mixing,
