@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listenlab.llm import licenses, merkle, mixing, packing, secrets_scan
+from listenlab.llm import langid, licenses, merkle, mixing, packing, secrets_scan
 from listenlab.llm.shared import keep
 
 TOKENIZER = "word_bpe_49k.json"
@@ -19,6 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    predicted = langid.fit(docs).predict(docs.select("doc_id", "text"))
+    return predicted.select("doc_id", (langid.fold(F.col("doc_id")) == 2).alias("held_out"), "lang_pred", "score",
+                            "cross_entropy", "rejected")
+
+
 def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("licenses", lambda p: p["base"])
@@ -73,6 +80,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_license_scans": op2_license_scans,
     "op3_document_fingerprints": op3_document_fingerprints,
     "op7_secret_scans": op7_secret_scans,
