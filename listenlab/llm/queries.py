@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listenlab.llm import html_extract, langid, licenses, merkle, mixing, packing, secrets_scan
+from listenlab.llm import embedding_join, html_extract, langid, licenses, merkle, mixing, packing, secrets_scan
 from listenlab.llm.shared import keep
 
 TOKENIZER = "word_bpe_49k.json"
@@ -50,6 +50,10 @@ def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         merkle.likeness(F.col("own"), merkle.clauses(F.col("next_text"))).alias("near_next"))
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
@@ -87,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_license_scans": op2_license_scans,
     "op3_document_fingerprints": op3_document_fingerprints,
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_html_extraction": op5_html_extraction,
     "op7_secret_scans": op7_secret_scans,
     "op8_best_fit_packing": op8_best_fit_packing,
