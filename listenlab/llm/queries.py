@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listenlab.llm import embedding_join, html_extract, langid, licenses, merkle, mixing, packing, secrets_scan
+from listenlab.llm import embedding_join, html_extract, jaccard_join, langid, licenses, merkle, mixing, packing, secrets_scan
 from listenlab.llm.shared import keep
 
 TOKENIZER = "word_bpe_49k.json"
@@ -58,6 +58,11 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_join.similar_components(docs).drop("digest")
+
+
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     base = F.filter("secrets", lambda s: s["kind_no"] < len(secrets_scan.BASE_KINDS))
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_document_fingerprints": op3_document_fingerprints,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_html_extraction": op5_html_extraction,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_secret_scans": op7_secret_scans,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_mixing": op10_mixing,
