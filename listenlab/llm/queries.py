@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listenlab.llm import embedding_join, html_extract, jaccard_join, langid, licenses, merkle, mixing, packing, secrets_scan
+from listenlab.llm import embedding_join, html_extract, jaccard_join, langid, licenses, merkle, mixing, packing, secrets_scan, substring_dedup
 from listenlab.llm.shared import keep
 
 TOKENIZER = "word_bpe_49k.json"
@@ -85,6 +85,11 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path(TOKENIZER))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.with_copies(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select(
@@ -101,5 +106,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_secret_scans": op7_secret_scans,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_mixing": op10_mixing,
 }
