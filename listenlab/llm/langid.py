@@ -17,7 +17,8 @@ most CALIBRATION of them by hash order of their ids.
 Defined cases: a text that is null or has no letter is ``und`` with score 0
 and rejected; ties between languages go to the first by name; rows that
 repeat a doc_id are predicted each by itself; without any training text every
-prediction is ``und``; an empty table gives no rows."""
+prediction is ``und``; an empty table gives no rows; other columns pass
+through, but for those that have the name of a result."""
 
 from __future__ import annotations
 
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from listenlab.llm.arrow_text import text_bytes
-from listenlab.llm.shared import map_arrow
+from listenlab.llm.shared import map_arrow, packed, unpacked
 
 ORDER = 4
 SLOT_BITS = 19
@@ -364,35 +365,33 @@ class Identifier:
         """``docs`` with lang_pred, score, cross_entropy, letters, rejected.
         Each pass over the texts broadcasts the models of one block of
         languages and carries the best language so far."""
-        state = "lang_pred string, cross_entropy double, total double, letters long, upper double"
-        state_fields = T._parse_datatype_string(state).fields
-        schema = T.StructType(docs.schema.fields + state_fields)
-        place, width, out = docs.columns.index(text), len(docs.columns), docs
+        out = packed(docs, text)
+        schema = T.StructType(out.schema.fields + T._parse_datatype_string(
+            "lang_pred string, cross_entropy double, total double, letters long, upper double").fields)
         for at in range(0, max(len(self.models), 1), LANGUAGES):
-            out = map_arrow(out, _scorer(docs.sparkSession.sparkContext.broadcast(
-                (self.models[at:at + LANGUAGES], self.calibration)), place, width, at > 0, schema.names), schema)
-        own = [F.col(f"`{c}`") for c in docs.columns]
+            block = docs.sparkSession.sparkContext.broadcast((self.models[at:at + LANGUAGES], self.calibration))
+            out = map_arrow(out, _scorer(block, at > 0, schema.names), schema)
         score = F.when(F.col("cross_entropy").isNull(), F.lit(0.0)).otherwise(
             F.least(F.lit(1.0), F.exp(-SHARPNESS * F.col("cross_entropy") - F.col("total"))))
-        return out.select(*own, "lang_pred", score.alias("score"), "cross_entropy", "letters",
-                          F.coalesce(F.col("cross_entropy") > F.col("upper"), F.lit(True)).alias("rejected"))
+        return unpacked(out, docs.columns, text, lang_pred=F.col("lang_pred"), score=score, cross_entropy=F.col("cross_entropy"),
+                        letters=F.col("letters"), rejected=F.coalesce(F.col("cross_entropy") > F.col("upper"), F.lit(True)))
 
 
-def _scorer(shared, place: int, width: int, goes_on: bool, names: list[str]):
+def _scorer(shared, goes_on: bool, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models, calibration = shared.value
         for batch in batches:
-            name, h, total, n, limit = _choose(models, calibration, batch.column(place))
+            name, h, total, n, limit = _choose(models, calibration, batch.column(1))
             if goes_on:  # a language of an earlier block wins ties
-                name0 = np.array(batch.column(width).to_pylist(), object)
-                h0, total0, limit0 = (batch.column(width + k).to_numpy(zero_copy_only=False).astype(float) for k in (1, 2, 4))
+                name0 = np.array(batch.column(2).to_pylist(), object)
+                h0, total0, limit0 = (batch.column(2 + k).to_numpy(zero_copy_only=False).astype(float) for k in (1, 2, 4))
                 older = ~(h < np.where(np.isnan(h0), np.inf, h0))
                 name, h, limit = np.where(older, name0, name), np.where(older, h0, h), np.where(older, limit0, limit)
                 total = np.logaddexp(total0, total)
             bad = ~np.isfinite(h)
             state = [pa.array(name.tolist(), pa.string()), pa.array(h, mask=bad), pa.array(np.where(bad, 0.0, total)),
                      pa.array(n), pa.array(limit)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:width], *state], names=names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *state], names=names)
 
     return run
 

@@ -19,6 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from listenlab.llm.shared import packed, unpacked
+
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -126,10 +128,9 @@ def scan(docs: DataFrame, text: str = "text", templates: tuple[Template, ...] =
         return F.concat(*[places(t, r, ws, found) for t, r in zip(templates, rare)])
 
     bound = F.transform(F.array(F.struct(words.alias("ws"), hits.alias("found"))), lambda b: in_row(b["ws"], b["found"]))
-    cut = docs.withColumn("license_words", words_of(F.col(text)))
-    return (cut.withColumn("n_words", F.size("license_words").cast("long"))
-            .withColumn("licenses", F.when(F.arrays_overlap(words, _strings(anchors)), F.element_at(bound, 1)).otherwise(none))
-            .drop("license_words"))
+    cut = packed(docs, text, license_words=words_of(F.col(text)))
+    return unpacked(cut, docs.columns, text, n_words=F.size("license_words").cast("long"), licenses=F.when(
+        F.arrays_overlap(words, _strings(anchors)), F.element_at(bound, 1)).otherwise(none))
 
 
 def joined_labels(places: Column) -> Column:

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from listenlab.llm.shared import parallelism
+from listenlab.llm.shared import packed, parallelism, unpacked
 
 SECTION_PARAGRAPHS = 8
 #: Clauses end at punctuation marks and line ends.
@@ -101,18 +101,19 @@ def next_in_order(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     ranges; a single id that repeats without bound would fill one range."""
     spark = docs.sparkSession
     ranges = 4 * parallelism(spark)
-    key = F.col(doc_id).cast("long")
+    rows = packed(docs, text, doc_id=F.col(doc_id))
+    key = F.col("doc_id").cast("long")
     share = [i / ranges for i in range(1, ranges)]
-    found = docs.agg(F.percentile_approx(key, share, 10 * ranges).alias("cuts")).first()["cuts"] or []
+    found = rows.agg(F.percentile_approx(key, share, 10 * ranges).alias("cuts")).first()["cuts"] or []
     cuts = sorted({int(c) for c in found}, reverse=True)
     # range 0 holds the largest ids; the last one holds the null ids
     at = F.size(F.filter(F.array(*[F.lit(c).cast("long") for c in cuts]), lambda c: key <= c)) if cuts else F.lit(0)
-    dealt = docs.withColumn("range", F.when(key.isNull(), F.lit(len(cuts) + 1)).otherwise(at))
-    body = F.coalesce(F.col(text), F.lit(""))
+    dealt = rows.withColumn("range", F.when(key.isNull(), F.lit(len(cuts) + 1)).otherwise(at))
+    body = F.coalesce("body", F.lit(""))
     order = F.struct((-F.coalesce(key, F.lit(0))).alias("k"), F.xxhash64(body).alias("h"))
     heads = sorted((r["range"], tuple(r["head"])) for r in dealt.groupBy("range").agg(F.min(order).alias("head")).collect())
     if not heads:
-        return dealt.drop("range").withColumn("next_text", F.lit(None).cast("string"))
+        return unpacked(dealt, docs.columns, text, next_text=F.lit(None).cast("string"))
     # the head of every range goes along to the range before it; the first head to the last range
     previous = {r: heads[i - 1][0] for i, (r, _) in enumerate(heads)}
     head_key = F.create_map(*[F.lit(x) for r, h in heads for x in (r, h[0])])[F.col("range")]
@@ -127,8 +128,8 @@ def next_in_order(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
             .withColumns({"to": F.col("copy.to"), "guest": F.col("copy.guest")}))
     window = Window.partitionBy("to").orderBy("guest", "order_key", "order_hash")
     # the lead is of the column as it is, so that the shuffle carries each text once
-    return (sent.withColumn("next_text", F.lead(text).over(window)).where("guest = 0")
-            .select(*docs.columns, F.coalesce("next_text", F.lit("")).alias("next_text")))
+    led = sent.withColumn("next_text", F.lead("body").over(window)).where("guest = 0")
+    return unpacked(led, docs.columns, text, next_text=F.coalesce("next_text", F.lit("")))
 
 
 def edited(text: Column, following: Column) -> Column:

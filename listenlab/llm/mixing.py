@@ -9,13 +9,16 @@ with probability equal to the fraction of its source's rate.
 Defined cases: a null text has size 0; a null source is a source of its own
 and comes last; a null doc_id is hashed as the empty string; rows that repeat
 a doc_id are decided alike; a source of size 0 has rate 0 and target 0; an
-empty table gives an empty mix. Other columns pass through unchanged."""
+empty table gives an empty mix. Other columns pass through unchanged, but for
+one that is named ``mix``."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from listenlab.llm.shared import packed, unpacked
+
 #: Weights dealt to the sources in code point order, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_RATE = 3.0
@@ -69,26 +72,20 @@ def draw(doc_id: Column, seed: str = SEED) -> Column:
 def with_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
                 weights: tuple[float, ...] = WEIGHTS, max_rate: float = MAX_RATE, seed: str = SEED) -> DataFrame:
     """``docs`` with struct column ``mix``: size, source_size, target, rate, copies."""
-    sizes = docs.select(F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
-    targets = source_targets(sizes, weights=weights, max_rate=max_rate)
+    rows = packed(docs, text, doc_id=F.col(doc_id), source=F.col(source), size=word_count(F.col(text)))
+    targets = source_targets(rows, weights=weights, max_rate=max_rate)
     # a null source joins by an empty string and a flag, so that plain hash joins serve
-    key = [F.col("source").isNull().alias("no_source"), F.coalesce("source", F.lit("")).alias("source_key")]
-    targets = targets.select(*key, F.struct("source_size", "target", "rate").alias("of_source"))
-    keyed = docs.withColumns({"no_source": F.col(source).isNull(), "source_key": F.coalesce(F.col(source), F.lit("")),
-                              "mix_size": word_count(F.col(text))})
-    joined = keyed.join(targets, ["no_source", "source_key"], "left")
-    rate = F.col("of_source.rate")
-    whole = F.floor(rate)
-    copies = (whole + (draw(F.col(doc_id), seed) < rate - whole).cast("long")).cast("long")
-    return joined.select(*[docs[c] for c in docs.columns],
-                         F.struct(F.col("mix_size").alias("size"), F.col("of_source.source_size"),
-                                  F.col("of_source.target"), F.col("of_source.rate"),
-                                  copies.alias("copies")).alias("mix"))
-
-
-def emit(docs: DataFrame, **options) -> DataFrame:
+    key = {"no_source": F.col("source").isNull(), "source_key": F.coalesce("source", F.lit(""))}
+    targets = targets.select(*[c.alias(n) for n, c in key.items()], "source_size", "target", "rate")
+    joined = rows.withColumns(key).join(targets, list(key), "left")
+    whole = F.floor("rate")
+    copies = (whole + (draw(F.col("doc_id"), seed) < F.col("rate") - whole).cast("long")).cast("long")
+    return unpacked(joined, docs.columns, text, mix=F.struct("size", "source_size", "target", "rate", copies.alias("copies")))
+
+
+def emit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The mix itself: every document as many times as it is taken."""
-    mixed = with_copies(docs, **options)
-    return (mixed.where("mix.copies > 0")
-            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("mix.copies").cast("int"))))
-            .select(*[mixed[c] for c in docs.columns]))
+    rows = packed(docs, text, doc_id=F.col(doc_id), source=F.col(source))
+    copy = F.explode(F.sequence(F.lit(1), F.col("mix.copies").cast("int")))
+    mixed = with_copies(rows, "doc_id", "body", "source", **options).where("mix.copies > 0")
+    return unpacked(mixed.withColumn("copy", copy), docs.columns, text)

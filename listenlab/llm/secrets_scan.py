@@ -11,7 +11,8 @@ between them and the matches themselves, in turn, add up to every start.
 
 Defined cases: a null text is empty; a null owner or repository counts as one
 owner or repository of its own; rows that repeat a doc_id are scanned each by
-itself and count as one repository; an empty table gives no rows."""
+itself and count as one repository; an empty table gives no rows; other columns pass through, but
+for one named ``secrets`` that ``scan`` replaces."""
 
 from __future__ import annotations
 
@@ -20,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from listenlab.llm.shared import keep
+from listenlab.llm.shared import keep, packed, unpacked
 
 #: A value held by at least this many owners is an example.
 EXAMPLE_OWNERS = 3
@@ -146,12 +147,13 @@ def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", owner: s
     Only the rows that hold candidates are written aside and joined; the
     others pass through. ``length`` names a column with the text's code
     points that follows the new text."""
-    scanned = scan(docs, text).withColumn("values", values_of(F.col("secrets")))
-    clean = scanned.where(F.size("secrets") == 0).select(*docs.columns)
-    held = keep(scanned.where(F.size("secrets") > 0).withColumn("row", F.monotonically_increasing_id()), "secrets")
-    classed = with_ownership(held, "row", owner, doc_id, least_owners)
-    body = redacted(F.col(text), F.col("secrets"), F.col("live_values"))
-    mended = held.join(classed, "row").withColumn(text, body)
+    rows = packed(docs, text, owner=F.col(owner), repository=F.col(doc_id))
+    scanned = scan(rows, "body").withColumn("values", values_of(F.col("secrets")))
+    clean = unpacked(scanned.where(F.size("secrets") == 0), docs.columns, text)
+    held = keep(scanned.where(F.size("secrets") > 0).withColumn("number", F.monotonically_increasing_id()), "secrets")
+    classed = with_ownership(held, "number", "owner", "repository", least_owners).withColumnRenamed("row", "number")
+    mended = held.join(classed, "number").withColumn("body", redacted(F.col("body"), F.col("secrets"), F.col("live_values")))
     if length in docs.columns:
-        mended = mended.withColumn(length, F.char_length(text).cast(docs.schema[length].dataType))
-    return clean.unionByName(mended.select(*docs.columns))
+        new = F.char_length("body").cast(docs.schema[length].dataType)
+        return clean.unionByName(unpacked(mended, docs.columns, text, **{length: new}).select(*[F.col(f"`{c}`") for c in docs.columns]))
+    return clean.unionByName(unpacked(mended, docs.columns, text))

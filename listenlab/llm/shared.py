@@ -9,7 +9,8 @@ import uuid
 import zipfile
 
 import listenlab
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from listenlab.session import checkpoint_dir
@@ -35,6 +36,20 @@ def clear(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def packed(docs: DataFrame, body: str, **needed: Column) -> DataFrame:
+    """``row``, a struct of the columns of ``docs``, the needed ones, and the
+    column ``body`` by itself, as ``body``: the names of the columns then meet
+    no name that an operator uses, and a text is carried once."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != body] or [F.lit(True).alias("_")]
+    return docs.select(F.struct(*others).alias("row"), F.col(f"`{body}`").alias("body"), *[c.alias(n) for n, c in needed.items()])
+
+
+def unpacked(frame: DataFrame, columns: list[str], body: str, **results: Column) -> DataFrame:
+    """The columns as they were, and the results; a result replaces a column of its name."""
+    own = [(F.col("body") if c == body else F.col("row")[c]).alias(c) for c in columns if c not in results]
+    return frame.select(*own, *[c.alias(n) for n, c in results.items()])
+
+
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

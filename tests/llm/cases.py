@@ -31,3 +31,13 @@ def rows():
 
 def docs(spark):
     return spark.createDataFrame(rows(), DOCS).repartition(5)
+
+
+def clashing(df):
+    """``df`` with more columns, named as the operators name theirs."""
+    from pyspark.sql import functions as F
+
+    names = """row body number owner repository size source_key no_source target rate mix copies copy range to guest order_key order_hash
+    next_text doc key content start words removals license_words licenses n_words secrets value values live_values lang_pred score
+    cross_entropy total letters upper rejected fold cid token band rank bucket piece length offset digest component""".split()
+    return df.withColumns({n: F.lit(f"own {n}") for n in names if n not in df.columns})
