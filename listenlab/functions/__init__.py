@@ -1,5 +1,4 @@
 from listenlab.functions.measures import (
-    avg_if,
     count_if,
     cnt,
     pct,
@@ -16,7 +15,7 @@ from listenlab.functions.labels import (
 )
 
 __all__ = [
-    "ENGAGEMENT_ORDER", "QUALITY_SEGMENTS", "RECOMMENDATION_ORDER", "avg_if", "cnt",
+    "ENGAGEMENT_ORDER", "QUALITY_SEGMENTS", "RECOMMENDATION_ORDER", "cnt",
     "count_if", "engagement_bucket", "label_order", "pct", "ratio",
     "recommendation_bucket", "sum_if",
 ]

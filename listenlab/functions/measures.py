@@ -8,10 +8,6 @@ Two semantic rules live here:
   in DECIMAL(38, x); ANSI mode would raise on ``x / 0``.
 * Conditional counts keep SQL's three-valued logic: a NULL predicate is not
   counted (``count_if``), and a conditional sum over no rows is NULL.
-* Sums of non-integer doubles are exact: values are summed as
-  DECIMAL(38, 10) and turned into a double once. A double sum depends on the
-  order rows arrive in (partitioning, retries); the exact sum does not, so
-  reruns and retried tasks give bit-identical marts.
 * Display rounding works on the binary value like the original engines:
   ``sql_round`` is round-half-away of ``x * 10^d`` (SQL ``round``),
   ``frame_round`` is round-half-even of ``x * 10^d`` (a data frame's
@@ -44,30 +40,6 @@ def sum_if(pred, value) -> Column:
     return F.sum(F.when(_c(pred), _c(value)))
 
 
-def avg_if(pred, value) -> Column:
-    """``avg(value) FILTER (WHERE pred)``."""
-    return F.avg(F.when(_c(pred), _c(value)))
-
-
-EXACT = "decimal(38,10)"
-
-
-def exact_sum(value) -> Column:
-    """Order-independent sum of a double column (DECIMAL result; NULL on no
-    rows); cast to double where the value leaves the aggregation."""
-    return F.sum(_c(value).cast(EXACT))
-
-
-def exact_sum_if(pred, value) -> Column:
-    return F.sum(F.when(_c(pred), _c(value).cast(EXACT)))
-
-
-def exact_avg(value) -> Column:
-    """Order-independent mean of a double column (NULL when no values)."""
-    v = _c(value)
-    return F.try_divide(F.sum(v.cast(EXACT)).cast("double"), F.count(v).cast("double"))
-
-
 def sql_round(value, digits: int) -> Column:
     """SQL ``round(x, d)``: half away from zero on ``x * 10^d``."""
     m = float(10 ** digits)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listenlab.functions.measures import cnt, count_if, exact_sum
+from listenlab.functions.measures import cnt, count_if
 
 
 ADDITIVE = (
@@ -49,7 +49,7 @@ def measure_map() -> dict:
         "unlikes": count_if(etype == "unlike"),
         "undislikes": count_if(etype == "undislike"),
         "sessions": count_if(F.col("is_session_start")),
-        "play_seconds": exact_sum("play_seconds"),  # DECIMAL until the marts
+        "play_seconds": F.sum("play_seconds"),
     }
 
 
@@ -59,6 +59,12 @@ def additive_measures(names=None) -> list:
     return [m[n].alias(n) for n in (names or m)]
 
 
+def user_day_tracks(stage: DataFrame) -> DataFrame:
+    """The distinct (uid, day_idx, item_id) of listens: unique tracks per day,
+    per user and per user-day all count its rows."""
+    return stage.where("is_listen").select("uid", "day_idx", "item_id").distinct()
+
+
 def user_day_base(stage: DataFrame) -> DataFrame:
     """One row per (uid, day_idx) with all additive measures."""
     return stage.groupBy("uid", "day_idx").agg(*additive_measures())

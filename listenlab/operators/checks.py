@@ -40,12 +40,13 @@ def funnel_monotonic(funnel: DataFrame) -> DataFrame:
 
 
 def mart_checks(stage: DataFrame, product: DataFrame, user: DataFrame, user_day: DataFrame,
-                retention: DataFrame, track: DataFrame, funnel: DataFrame) -> DataFrame:
-    """The eleven cross-mart checks, one row each."""
-    anchor = stage.agg(cnt().alias("events"), count_if("is_listen").alias("listens")).select(
-        "events", "listens",
-        distinct_count(stage, "uid").alias("users"), distinct_count(stage, "item_id").alias("tracks"),
-    )
+                retention: DataFrame, track: DataFrame, funnel: DataFrame, base: DataFrame) -> DataFrame:
+    """The eleven cross-mart checks, one row each. Events, listens and users
+    of the stage come from its user-day ``base``; only the distinct tracks
+    need a pass over the stage."""
+    per_user = base.groupBy("uid").agg(F.sum("events").alias("events"), F.sum("listens").alias("listens"))
+    anchor = per_user.agg(F.coalesce(F.sum("events"), F.lit(0)).alias("events"), F.coalesce(F.sum("listens"), F.lit(0)).alias("listens"),
+                          F.count("uid").alias("users")).withColumn("tracks", distinct_count(stage, "item_id"))
     p = scalars(
         product, events=F.sum("events"), listens=F.sum("listens"),
         bad_rates=count_if(_not_between("listener_like_rate") | _not_between("listener_dislike_rate")),

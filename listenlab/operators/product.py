@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listenlab.functions.measures import cnt, count_if, ratio
-from listenlab.operators.base import user_day_base
+from listenlab.operators.base import user_day_base, user_day_tracks
 
 PRODUCT_COLUMNS = (
     "day_idx", "observation_day", "active_users", "events", "listens", "listeners",
@@ -39,15 +39,15 @@ def day_reactions(flags: DataFrame) -> DataFrame:
     )
 
 
-def day_unique_tracks(stage: DataFrame) -> DataFrame:
+def day_unique_tracks(tracks: DataFrame) -> DataFrame:
     """Distinct listened tracks per day (the one distinct not on the user)."""
-    return stage.where("is_listen").groupBy("day_idx") \
-        .agg(F.count_distinct("item_id").alias("unique_tracks"))
+    return tracks.groupBy("day_idx").agg(F.count_distinct("item_id").alias("unique_tracks"))
 
 
-def product_day(stage: DataFrame, base: DataFrame | None = None) -> DataFrame:
+def product_day(stage: DataFrame, base: DataFrame | None = None, tracks: DataFrame | None = None) -> DataFrame:
     """``mart_product_day``: one row per day (see module docs of base)."""
     base = user_day_base(stage) if base is None else base
+    tracks = user_day_tracks(stage) if tracks is None else tracks
     has_listen = F.col("listens") > 0
     day = base.groupBy("day_idx").agg(
         cnt().alias("active_users"),
@@ -66,14 +66,14 @@ def product_day(stage: DataFrame, base: DataFrame | None = None) -> DataFrame:
         F.sum("organic_replays").alias("organic_replays"),
         F.sum("likes").alias("likes"),
         F.sum("dislikes").alias("dislikes"),
-        F.sum("play_seconds").cast("double").alias("play_seconds"),
+        F.sum("play_seconds").alias("play_seconds"),
         F.sum("sessions").alias("sessions"),
         count_if(has_listen & (F.col("likes") > 0)).alias("listener_likers"),
         count_if(has_listen & (F.col("dislikes") > 0)).alias("listener_dislikers"),
     )
     # Both sides are day-grain (bounded by the time span); left join keeps
     # days without listens (unique_tracks = 0 there).
-    joined = day.join(day_unique_tracks(stage), "day_idx", "left")
+    joined = day.join(day_unique_tracks(tracks), "day_idx", "left")
     c = F.col
     return joined.select(
         "day_idx",

@@ -15,8 +15,9 @@ from listenlab.functions.labels import (
     ENGAGEMENT_ORDER, FUNNEL_REPORT_NAMES, RECOMMENDATION_ORDER, label_order, quality_segment,
 )
 from listenlab.functions.measures import (
-    cnt, count_if, exact_avg, exact_sum, exact_sum_if, frame_round, pct, ratio, sql_round, sum_if,
+    cnt, count_if, frame_round, pct, ratio, sql_round, sum_if,
 )
+from listenlab.functions.quantiles import median, quantiles
 from listenlab.settings import DEFAULT, Settings
 
 
@@ -39,7 +40,7 @@ def product_summary(product: DataFrame) -> DataFrame:
         F.sum("listens").alias("listens"),
         F.median("active_users").alias("median_dau"),
         F.sum("sessions").alias("sessions"),
-        (F.try_divide(exact_sum("play_seconds").cast("double"), F.sum("active_users").cast("double")) / 60.0)
+        (F.try_divide(F.sum("play_seconds").cast("double"), F.sum("active_users").cast("double")) / 60.0)
         .alias("minutes_per_active_user"),
         pct(F.sum("listen_plus"), F.sum("listens")).alias("listen_plus_pct"),
         pct(F.sum("recommendation_listens"), F.sum("listens")).alias("recommendation_pct"),
@@ -93,12 +94,9 @@ def daily_preview(product: DataFrame, days: int = 10) -> DataFrame:
 def user_summary(user: DataFrame) -> DataFrame:
     return _bround_doubles(user.agg(
         cnt().alias("users"),
-        F.median("active_days").alias("median_active_days"),
         F.avg("active_days").alias("avg_active_days"),
-        F.median("listens").alias("median_listens"),
-        F.median("sessions").alias("median_sessions"),
-        (exact_avg("recommendation_share") * 100).alias("avg_user_recommendation_pct"),
-    ))
+        (F.avg("recommendation_share") * 100).alias("avg_user_recommendation_pct"),
+    ).select("*", *[median(user, c).alias(f"median_{c}") for c in ("active_days", "listens", "sessions")]))
 
 
 def overall_retention(retention: DataFrame, lifetime_days=(1, 7, 30)) -> DataFrame:
@@ -122,7 +120,7 @@ def retention_by_recommendations(retention: DataFrame, lifetime_days=(1, 7, 30))
     d0 = F.col("lifetime_day") == 0
     out = retention.groupBy("recommendation_bucket").agg(
         sum_if(d0, "cohort_users").alias("users"),
-        F.try_divide(exact_sum_if(d0, F.col("avg_first_day_listens") * F.col("cohort_users")).cast("double"),
+        F.try_divide(sum_if(d0, F.col("avg_first_day_listens") * F.col("cohort_users")).cast("double"),
                      sum_if(d0, "cohort_users").cast("double")).alias("avg_first_day_listens"),
         *[_dn(n) for n in lifetime_days],
     )
@@ -141,12 +139,12 @@ def controlled_d7(retention: DataFrame, lifetime_day: int = 7) -> DataFrame:
 
 
 def controlled_d7_pivot(retention: DataFrame, lifetime_day: int = 7) -> DataFrame:
-    """The same as a matrix: engagement rows, recommendation-bucket columns
-    (only buckets present in the data, like a pandas pivot)."""
+    """The same as a matrix: engagement rows in display order, one column per
+    recommendation bucket (NULL where the data has none of it)."""
     flat = controlled_d7(retention, lifetime_day)
     value = f"d{lifetime_day}_pct"
-    wide = flat.groupBy("engagement_bucket").pivot("recommendation_bucket").agg(F.first(value))
-    return _bround_doubles(wide)
+    wide = flat.groupBy("engagement_bucket").pivot("recommendation_bucket", list(RECOMMENDATION_ORDER)).agg(F.first(value))
+    return _bround_doubles(wide).orderBy(label_order("engagement_bucket", ENGAGEMENT_ORDER).asc_nulls_last())
 
 
 def cohort_heatmap(retention: DataFrame, lifetime_days=(1, 7, 30), cohorts: int = 10) -> DataFrame:
@@ -172,8 +170,7 @@ def track_summary(track: DataFrame) -> DataFrame:
         pct(F.sum("replays"), F.sum("listens")).alias("replay_pct"),
         ratio(F.sum("likes"), F.sum("listens"), 1000.0).alias("likes_per_1000"),
         ratio(F.sum("dislikes"), F.sum("listens"), 1000.0).alias("dislikes_per_1000"),
-        F.median(F.when(has_listens, F.col("listeners"))).alias("median_listeners"),
-    ))
+    ).withColumn("median_listeners", median(track.where(has_listens), "listeners")))
 
 
 def track_source_quality(track: DataFrame) -> DataFrame:
@@ -187,14 +184,11 @@ def track_source_quality(track: DataFrame) -> DataFrame:
 
 def quality_thresholds(reliable: DataFrame) -> Column:
     """Exact, linearly interpolated quartiles of the reliable tracks as one
-    scalar-subquery struct (q25, q75 of Listen+ rate; q75 of dislikes per
-    1000). The input has one row per reliable track, so the exact percentile
-    buffer is bounded by the catalogue, not by the event volume."""
-    return reliable.agg(F.struct(
-        F.percentile("listen_plus_rate", 0.25).alias("listen_plus_q25"),
-        F.percentile("listen_plus_rate", 0.75).alias("listen_plus_q75"),
-        F.percentile("dislikes_per_1000_listens", 0.75).alias("dislikes_per_1000_q75"),
-    )).scalar()
+    struct (q25, q75 of Listen+ rate; q75 of dislikes per 1000)."""
+    plus = quantiles(reliable, "listen_plus_rate", q25=0.25, q75=0.75)
+    dislikes = quantiles(reliable, "dislikes_per_1000_listens", q75=0.75)
+    return F.struct(plus["q25"].alias("listen_plus_q25"), plus["q75"].alias("listen_plus_q75"),
+                    dislikes["q75"].alias("dislikes_per_1000_q75"))
 
 
 def segmented_tracks(track: DataFrame, attention_wins: bool) -> DataFrame:
@@ -212,8 +206,8 @@ def quality_segments(track: DataFrame) -> DataFrame:
     out = segmented_tracks(track, attention_wins=False).groupBy("quality_segment").agg(
         cnt().alias("tracks"),
         F.sum("listens").alias("listens"),
-        (exact_avg("listen_plus_rate") * 100).alias("avg_listen_plus_pct"),
-        exact_avg("dislikes_per_1000_listens").alias("avg_dislikes_per_1000"),
+        (F.avg("listen_plus_rate") * 100).alias("avg_listen_plus_pct"),
+        F.avg("dislikes_per_1000_listens").alias("avg_dislikes_per_1000"),
     )
     return _bround_doubles(out).orderBy(F.desc("tracks"), "quality_segment")
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from listenlab.functions.measures import cnt, count_if, distinct_count
+from listenlab.functions.measures import cnt, count_if
 from listenlab.settings import EVENT_TYPES
 
 REQUIRED = ("uid", "item_id", "timestamp", "is_organic", "event_type")
@@ -24,13 +24,26 @@ def required_null(*cols: str) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
 
 
+def _over_pairs(source: DataFrame, items: str, *measures: Column) -> DataFrame:
+    """The measures (counts, sums, minima, maxima) over the whole source with
+    its distinct users and items, in one scan: the events are reduced to one
+    row per user and item first, map-side, and the distinct counts run over
+    those."""
+    pairs = source.groupBy("uid", "item_id").agg(*measures)
+    names = [c for c in pairs.columns if c not in ("uid", "item_id")]
+    over = {"min_timestamp": F.min, "max_timestamp": F.max}
+    out = pairs.agg(*[over.get(n, F.sum)(n).alias(n) for n in names],
+                    F.count_distinct("uid").alias("users"), F.count_distinct("item_id").alias(items))
+    # an empty source has 0 events
+    return out.select(F.coalesce("events", F.lit(0)).alias("events"), "users", items, *names[1:])
+
+
 def source_profile(source: DataFrame) -> DataFrame:
     """Eleven measures of the raw source in one pass (one row)."""
     is_listen = F.col("event_type") == "listen"
-    return source.agg(
+    return _over_pairs(
+        source, "items",
         cnt().alias("events"),
-        F.lit(0).alias("users"),
-        F.lit(0).alias("items"),
         F.min("timestamp").alias("min_timestamp"),
         F.max("timestamp").alias("max_timestamp"),
         _bool_sum(F.col("timestamp") % 5 != 0).cast("bigint").alias("timestamps_not_multiple_of_5"),
@@ -41,7 +54,7 @@ def source_profile(source: DataFrame) -> DataFrame:
         _bool_sum(~is_listen & (F.col("played_ratio_pct").isNotNull()
                                 | F.col("track_length_seconds").isNotNull()))
         .cast("bigint").alias("non_listen_with_play_fields"),
-    ).withColumn("users", distinct_count(source, "uid")).withColumn("items", distinct_count(source, "item_id"))
+    )
 
 
 def source_gate(source: DataFrame) -> DataFrame:
@@ -55,7 +68,7 @@ def source_gate(source: DataFrame) -> DataFrame:
 def check_gate(source: DataFrame) -> dict:
     """Run the gate; raise with the profile when it fails."""
     row = source_profile(source).first().asDict()
-    if row["required_nulls"] != 0 or row["invalid_event_type"] != 0:
+    if row["required_nulls"] != 0 or row["invalid_event_type"] != 0:  # None on an empty source
         raise ValueError(f"source gate failed: {row}")
     return row
 
@@ -65,17 +78,16 @@ def source_quality(source: DataFrame) -> DataFrame:
     is_listen = F.col("event_type") == "listen"
     play_missing = F.col("played_ratio_pct").isNull() | F.col("track_length_seconds").isNull()
     play_present = F.col("played_ratio_pct").isNotNull() | F.col("track_length_seconds").isNotNull()
-    return source.agg(
+    return _over_pairs(
+        source, "tracks",
         cnt().alias("events"),
-        F.lit(0).alias("users"),
-        F.lit(0).alias("tracks"),
         F.min("timestamp").alias("min_timestamp"),
         F.max("timestamp").alias("max_timestamp"),
         count_if(required_null(*REQUIRED)).alias("missing_required"),
         count_if(F.col("timestamp") % 5 != 0).alias("invalid_timestamp_step"),
         count_if(is_listen & play_missing).alias("invalid_listens"),
         count_if(~is_listen & play_present).alias("invalid_actions"),
-    ).withColumn("users", distinct_count(source, "uid")).withColumn("tracks", distinct_count(source, "item_id"))
+    )
 
 
 def event_type_counts(source: DataFrame) -> DataFrame:

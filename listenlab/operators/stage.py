@@ -90,17 +90,6 @@ def stage_events(source: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     return with_session_starts(with_flags(source, settings), settings).select(*STAGE_COLUMNS)
 
 
-def stage_events_single_window(source: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
-    """Reference formulation with one window per user. Kept for tests only:
-    it is the brute-force check of the split window above."""
-    flagged = with_flags(source, settings)
-    order = Window.partitionBy("uid").orderBy("timestamp", "item_id", "event_type")
-    prev = F.lag("timestamp").over(order)
-    return flagged.withColumn(
-        "is_session_start", prev.isNull() | (F.col("timestamp") - prev > settings.session_gap_seconds)
-    ).select(*STAGE_COLUMNS)
-
-
 def session_starts(stage: DataFrame) -> DataFrame:
     """Session starts and events per (uid, day_idx): deterministic even when
     rows tie on the whole order key."""
@@ -110,6 +99,12 @@ def session_starts(stage: DataFrame) -> DataFrame:
     )
 
 
+def session_flags(stage: DataFrame) -> DataFrame:
+    """Session starts per user and second, the finest grain at which the flag
+    is determined when rows tie on the whole order key."""
+    return stage.groupBy("uid", "timestamp").agg(F.sum(F.col("is_session_start").cast("int")).alias("starts"))
+
+
 def stage_reconcile(source: DataFrame, stage: DataFrame) -> DataFrame:
     """Stage rows must equal source rows (one row: both counts and ``ok``).
     The source count enters as a scalar subquery."""

@@ -1,18 +1,17 @@
-"""What the builders return (rows and totals per mart) and the build report."""
+"""What the builders return (rows and totals per mart) and reports as rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listenlab.functions.measures import cnt
-from listenlab.settings import DEFAULT, Settings
 
 MART_KEYS = {
     "mart_product_day": ["day_idx"],
     "mart_user": ["uid"],
     "mart_user_day": ["uid", "day_idx"],
-    "mart_retention_cohort": ["cohort_day", "lifetime_day", "recommendation_bucket", "engagement_bucket"],
+    "mart_retention_cohort": ["cohort_day", "recommendation_bucket", "engagement_bucket", "lifetime_day"],
     "mart_track": ["item_id"],
     "mart_recommendation_funnel": ["step_order"],
 }
@@ -44,24 +43,17 @@ def mart_summaries(product: DataFrame, funnel: DataFrame, user: DataFrame, user_
     return out
 
 
-def build_report(profile: DataFrame, summaries: DataFrame, checks: DataFrame,
-                 settings: Settings = DEFAULT) -> DataFrame:
-    """The build report as one row of nested structs: source totals, rows and
-    key of every mart, check results, and the metric definitions. Mart rows
-    and checks are small fixed-size tables folded with ``map_from_entries``."""
-    rows = summaries.where(F.col("measure") == "rows")
-    marts = rows.agg(F.map_from_entries(F.collect_list(F.struct("mart", "value")))).scalar()
-    check_map = checks.agg(F.map_from_entries(F.collect_list(F.struct("name", "ok")))).scalar()
-    keys = F.create_map(*[x for k, v in MART_KEYS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
-    return profile.select(
-        F.struct("events", "listens", "users", "items").alias("source"),
-        marts.alias("marts"),
-        keys.alias("mart_keys"),
-        check_map.alias("checks"),
-        F.struct(
-            F.lit(settings.day_seconds).alias("day_seconds"),
-            F.lit(settings.session_gap_seconds).alias("session_gap_seconds"),
-            F.lit(settings.listen_plus_threshold).alias("listen_plus_threshold"),
-            F.lit(settings.track_min_listens).alias("track_min_listens"),
-        ).alias("definitions"),
-    )
+def report_rows(report: dict) -> list[tuple[str, str, float]]:
+    """A job's report as (section, name, value) rows; truth is 1 or 0."""
+    out = []
+    for section, items in report.items():
+        for name, value in items.items():
+            if isinstance(value, dict):
+                value = value.get("rows", value.get("bytes"))
+            if isinstance(value, (int, float)):
+                out.append((section, name, float(value)))
+    return out
+
+
+def report_frame(spark: SparkSession, report: dict) -> DataFrame:
+    return spark.createDataFrame(report_rows(report), "section string, name string, value double")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listenlab.functions.measures import count_if, exact_sum_if, ratio
+from listenlab.functions.measures import count_if, ratio, sum_if
 from listenlab.operators.base import additive_measures
 from listenlab.settings import DEFAULT, Settings
 
@@ -34,7 +34,7 @@ def track_mart(stage: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
         F.min("day_idx").alias("first_day"),
         F.max("day_idx").alias("last_day"),
         *additive_measures(_SUMMED),
-        exact_sum_if(listen, "played_ratio_pct").alias("ratio_sum"),
+        sum_if(listen, "played_ratio_pct").alias("ratio_sum"),
         F.count(F.when(listen, F.col("played_ratio_pct"))).alias("ratio_n"),
         # any non-NULL length among listens; min makes the choice deterministic
         F.min(F.when(listen, F.col("track_length_seconds"))).alias("track_length_seconds"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listenlab.functions.measures import cnt, ratio
-from listenlab.operators.base import user_day_base
+from listenlab.operators.base import user_day_base, user_day_tracks
 
 USER_COLUMNS = (
     "uid", "first_day", "last_day", "active_days", "events", "listens", "unique_tracks",
@@ -21,17 +21,12 @@ USER_DAY_COLUMNS = (
 )
 
 
-def _distinct_listened(stage: DataFrame, keys: list[str]) -> DataFrame:
-    return stage.where("is_listen").groupBy(*keys) \
-        .agg(F.count_distinct("item_id").alias("unique_tracks"))
-
-
-def user_day(stage: DataFrame, base: DataFrame | None = None) -> DataFrame:
+def user_day(stage: DataFrame, base: DataFrame | None = None, tracks: DataFrame | None = None) -> DataFrame:
     """``mart_user_day``: one row per (uid, day_idx)."""
     base = user_day_base(stage) if base is None else base
-    tracks = _distinct_listened(stage, ["uid", "day_idx"])
-    joined = base.join(tracks, ["uid", "day_idx"], "left")
-    joined = joined.withColumn("play_seconds", F.col("play_seconds").cast("double"))
+    tracks = user_day_tracks(stage) if tracks is None else tracks
+    unique = tracks.groupBy("uid", "day_idx").agg(cnt().alias("unique_tracks"))
+    joined = base.join(unique, ["uid", "day_idx"], "left")
     return joined.select(
         "uid", "day_idx", "events", "listens",
         F.coalesce("unique_tracks", F.lit(0).cast("bigint")).alias("unique_tracks"),
@@ -43,7 +38,7 @@ def user_day(stage: DataFrame, base: DataFrame | None = None) -> DataFrame:
     )
 
 
-def user_mart(stage: DataFrame, base: DataFrame | None = None) -> DataFrame:
+def user_mart(stage: DataFrame, base: DataFrame | None = None, tracks: DataFrame | None = None) -> DataFrame:
     """``mart_user``: one row per uid over the whole period. A user's base
     rows are its active days, so ``active_days`` is a row count."""
     base = user_day_base(stage) if base is None else base
@@ -54,10 +49,11 @@ def user_mart(stage: DataFrame, base: DataFrame | None = None) -> DataFrame:
         *[F.sum(c).alias(c) for c in (
             "events", "listens", "listen_plus", "recommendation_listens", "replays", "likes",
             "dislikes", "unlikes", "undislikes", "sessions")],
-        F.sum("play_seconds").cast("double").alias("play_seconds"),
+        F.sum("play_seconds").alias("play_seconds"),
     )
-    tracks = _distinct_listened(stage, ["uid"])
-    joined = per_user.join(tracks, "uid", "left")
+    tracks = user_day_tracks(stage) if tracks is None else tracks
+    unique = tracks.groupBy("uid").agg(F.count_distinct("item_id").alias("unique_tracks"))
+    joined = per_user.join(unique, "uid", "left")
     return joined.select(
         "uid", "first_day", "last_day", "active_days", "events", "listens",
         F.coalesce("unique_tracks", F.lit(0).cast("bigint")).alias("unique_tracks"),

@@ -1,9 +1,10 @@
 """End-to-end jobs: build every mart from the event log, export the
 dashboard extracts. The only module that writes.
 
-Plan shape at scale: the stage (flags + split session window) is written
-once; each builder reads the written stage (and the user-day base, written
-once next to it) and writes one mart. Builder summaries are collected with
+Plan shape at scale: ``prepare_events`` scans the source three times (gate,
+and the stage's rows and session spans) and writes the stage, its user-day
+base and its distinct listened tracks together; each builder reads what it
+needs of the three and writes one mart. Builder summaries are collected with
 ``observe`` during the write, so no mart is scanned twice for its totals.
 Checks read the written marts.
 
@@ -20,13 +21,15 @@ from __future__ import annotations
 import json
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from listenlab.functions.measures import cnt
 from listenlab.operators import checks, exports, funnel, product, retention, source, stage as stage_ops, \
     track, user
-from listenlab.operators.base import user_day_base
+from listenlab.operators.base import user_day_base, user_day_tracks
 from listenlab.operators.summary import MART_KEYS
 from listenlab.settings import DEFAULT, Settings
 from listenlab.sources import read_interactions
@@ -34,6 +37,7 @@ from listenlab.sources.sinks import sorted_frame, write_csv, write_parquet
 
 MART_FILES = {name: f"{name}.parquet" for name in MART_KEYS}
 BASE_FILE = "_user_day_base.parquet"
+TRACKS_FILE = "_user_day_tracks.parquet"
 
 
 def _p(root: str, name: str) -> str:
@@ -43,7 +47,9 @@ def _p(root: str, name: str) -> str:
 def _read(spark: SparkSession, path: str, what: str, advice: str) -> DataFrame:
     try:
         return spark.read.parquet(path)
-    except Exception as exc:  # noqa: BLE001  (PATH_NOT_FOUND and friends)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         raise FileNotFoundError(f"{what} not found at {path}. {advice}") from exc
 
 
@@ -65,38 +71,45 @@ def _write_observed(df: DataFrame, path: str, keys: list[str], total_order: bool
 
 def prepare_events(spark: SparkSession, source_path: str | None, stage_path: str,
                    settings: Settings = DEFAULT, source_df: DataFrame | None = None) -> dict:
-    """Profile and gate the source, write the stage, reconcile its row count.
-    Returns the source profile."""
+    """Profile and gate the source, write the stage with its base and tracks,
+    reconcile its row count. Returns the source profile."""
     src = source_df if source_df is not None else read_interactions(spark, source_path)
-    profile = source.source_profile(src).first().asDict()
-    if profile["required_nulls"] != 0 or profile["invalid_event_type"] != 0:
-        raise ValueError(f"source gate failed: {profile}")
+    profile = source.check_gate(src)
     # no sort: the window already leaves rows clustered by user and time
     written = _write_observed(stage_ops.stage_events(src, settings), stage_path, [])
     if written["rows"] != profile["events"]:
         raise RuntimeError(f"stage rows {written['rows']} != source rows {profile['events']}")
+    _write_derived(spark, stage_path)
     return profile
 
 
+def _write_derived(spark: SparkSession, stage_path: str) -> None:
+    """The base and the tracks of the stage as it is now; the builders read
+    them, so they are always written together with it."""
+    stage = _stage(spark, stage_path)
+    _concurrently({
+        "base": lambda: write_parquet(user_day_base(stage), stage_path.rstrip("/") + BASE_FILE),
+        "tracks": lambda: write_parquet(user_day_tracks(stage), stage_path.rstrip("/") + TRACKS_FILE),
+    })
+
+
 def _stage(spark, stage_path):
     return _read(spark, stage_path, "stage", "Run prepare_events first.")
 
 
 def _base(spark, stage_path):
-    """The user-day base next to the stage; written on first use."""
-    path = stage_path.rstrip("/") + BASE_FILE
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001
-        write_parquet(user_day_base(_stage(spark, stage_path)), path)
-        return spark.read.parquet(path)
+    return _read(spark, stage_path.rstrip("/") + BASE_FILE, "user-day base", "Run prepare_events first.")
+
+
+def _tracks(spark, stage_path):
+    return _read(spark, stage_path.rstrip("/") + TRACKS_FILE, "listened tracks", "Run prepare_events first.")
 
 
 # --- marts -------------------------------------------------------------------
 
 def build_product_mart(spark, stage_path: str, output_path: str) -> dict:
     return _write_observed(
-        product.product_day(_stage(spark, stage_path), _base(spark, stage_path)), output_path,
+        product.product_day(_stage(spark, stage_path), _base(spark, stage_path), _tracks(spark, stage_path)), output_path,
         MART_KEYS["mart_product_day"], True, events=F.sum("events"), listens=F.sum("listens"))
 
 
@@ -108,13 +121,13 @@ def build_recommendation_funnel(spark, stage_path: str, output_path: str) -> dic
 
 
 def build_user_mart(spark, stage_path: str, output_path: str) -> dict:
-    return _write_observed(user.user_mart(_stage(spark, stage_path), _base(spark, stage_path)), output_path,
-                           MART_KEYS["mart_user"], sessions=F.sum("sessions"))
+    mart = user.user_mart(_stage(spark, stage_path), _base(spark, stage_path), _tracks(spark, stage_path))
+    return _write_observed(mart, output_path, MART_KEYS["mart_user"], sessions=F.sum("sessions"))
 
 
 def build_user_day_mart(spark, stage_path: str, output_path: str) -> dict:
-    out = _write_observed(user.user_day(_stage(spark, stage_path), _base(spark, stage_path)), output_path,
-                          MART_KEYS["mart_user_day"])
+    mart = user.user_day(_stage(spark, stage_path), _base(spark, stage_path), _tracks(spark, stage_path))
+    out = _write_observed(mart, output_path, MART_KEYS["mart_user_day"])
     out["users"] = spark.read.parquet(output_path).select("uid").distinct().count()
     return out
 
@@ -134,7 +147,7 @@ def validate_all_marts(spark, stage_path: str, mart_dir: str) -> dict[str, bool]
     m = {k: _read(spark, _p(mart_dir, f), k, "Build the marts first.") for k, f in MART_FILES.items()}
     return checks.raise_on_failure(checks.mart_checks(
         _stage(spark, stage_path), m["mart_product_day"], m["mart_user"], m["mart_user_day"],
-        m["mart_retention_cohort"], m["mart_track"], m["mart_recommendation_funnel"]))
+        m["mart_retention_cohort"], m["mart_track"], m["mart_recommendation_funnel"], _base(spark, stage_path)))
 
 
 def _concurrently(jobs: dict) -> dict:
@@ -164,9 +177,9 @@ def build_marts(spark: SparkSession, source_path: str | None, output_dir: str, s
         _stage(spark, stage_path)
         src = source_df if source_df is not None else read_interactions(spark, source_path)
         profile = source.source_profile(src).first().asDict()
+        _write_derived(spark, stage_path)
     else:
         profile = prepare_events(spark, source_path, stage_path, settings, source_df)
-    write_parquet(user_day_base(_stage(spark, stage_path)), stage_path.rstrip("/") + BASE_FILE)
 
     paths = {name: _p(output_dir, f) for name, f in MART_FILES.items()}
     builders = {
@@ -211,39 +224,45 @@ def _mart(spark, mart_dir, name):
     return _read(spark, _p(mart_dir, MART_FILES[name]), f"mart {name}", "Run build_marts first.")
 
 
-def export_product(spark, mart_dir: str, output_dir: str, single_file: bool = True) -> DataFrame:
+def _write_extract(df: DataFrame, output_dir: str, name: str, single_file: bool) -> tuple[DataFrame, int]:
+    """Write one extract and count its rows on the way. The frame stays in
+    executor memory and disk, so that the checks don't compute it again."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    obs = Observation()
+    write_csv(df.observe(obs, cnt().alias("rows")), _p(output_dir, EXTRACT_FILES[name]), single_file)
+    return df, obs.get["rows"]
+
+
+def export_product(spark, mart_dir: str, output_dir: str, single_file: bool = True) -> tuple[DataFrame, int]:
     df = exports.export_product_day(_mart(spark, mart_dir, "mart_product_day"))
-    write_csv(df, _p(output_dir, EXTRACT_FILES["product_day"]), single_file)
-    return df
+    return _write_extract(df, output_dir, "product_day", single_file)
 
 
-def export_tracks(spark, mart_dir: str, output_dir: str) -> tuple[DataFrame, dict]:
+def export_tracks(spark, mart_dir: str, output_dir: str) -> tuple[DataFrame, int, dict]:
     """Reliable tracks (one row each, so the CSV stays multi-part) and the
-    quartile thresholds."""
+    quartile thresholds. A mart without the columns of the contract raises."""
     t = _mart(spark, mart_dir, "mart_track")
-    df = exports.export_track_quality(t)
-    write_csv(df, _p(output_dir, EXTRACT_FILES["track_quality"]), single_file=False)
-    return df, exports.track_thresholds(t).first().asDict()
+    missing = checks.track_columns_contract(t)
+    if missing:
+        raise ValueError(f"mart_track is missing {missing}; its columns: {source.source_schema(t)}")
+    df, rows = _write_extract(exports.export_track_quality(t), output_dir, "track_quality", single_file=False)
+    return df, rows, exports.track_thresholds(t).first().asDict()
 
 
-def export_retention(spark, mart_dir: str, output_dir: str) -> DataFrame:
+def export_retention(spark, mart_dir: str, output_dir: str) -> tuple[DataFrame, int]:
     """Cohort x buckets x lifetime days (grows with the square of the day
     span): written multi-part, like the track extract."""
     df = exports.export_retention_cohort(_mart(spark, mart_dir, "mart_retention_cohort"))
-    write_csv(df, _p(output_dir, EXTRACT_FILES["retention_cohort"]), single_file=False)
-    return df
+    return _write_extract(df, output_dir, "retention_cohort", single_file=False)
 
 
-def export_funnel(spark, mart_dir: str, output_dir: str) -> DataFrame:
+def export_funnel(spark, mart_dir: str, output_dir: str) -> tuple[DataFrame, int]:
     df = exports.export_funnel(_mart(spark, mart_dir, "mart_recommendation_funnel"))
-    write_csv(df, _p(output_dir, EXTRACT_FILES["recommendation_funnel"]), single_file=True)
-    return df
+    return _write_extract(df, output_dir, "recommendation_funnel", single_file=True)
 
 
-def export_source_quality(product_mart: DataFrame, output_dir: str) -> DataFrame:
-    df = exports.export_recommendation_quality(product_mart)
-    write_csv(df, _p(output_dir, EXTRACT_FILES["recommendation_quality"]), single_file=True)
-    return df
+def export_source_quality(product_mart: DataFrame, output_dir: str) -> tuple[DataFrame, int]:
+    return _write_extract(exports.export_recommendation_quality(product_mart), output_dir, "recommendation_quality", single_file=True)
 
 
 def validate_exports(spark, frames: dict[str, DataFrame], output_dir: str,
@@ -260,7 +279,7 @@ def validate_exports(spark, frames: dict[str, DataFrame], output_dir: str,
 def export_all(spark: SparkSession, mart_dir: str, output_dir: str, settings: Settings = DEFAULT,
                single_file: bool = True) -> dict:
     """Write the five dashboard extracts as CSV, check them, report rows,
-    thresholds and file sizes."""
+    thresholds and file sizes. Each extract is computed once."""
     done = _concurrently({
         "product_day": lambda: export_product(spark, mart_dir, output_dir, single_file),
         "track_quality": lambda: export_tracks(spark, mart_dir, output_dir),
@@ -269,16 +288,19 @@ def export_all(spark: SparkSession, mart_dir: str, output_dir: str, settings: Se
         "recommendation_quality": lambda: export_source_quality(
             _mart(spark, mart_dir, "mart_product_day"), output_dir),
     })
-    frames = dict(done)
-    frames["track_quality"], thresholds = done["track_quality"]
-    result = validate_exports(spark, frames, output_dir, settings.track_min_listens)
-    written = spark.read.text(_p(output_dir, "*/*.csv"))
-    files = written.select("_metadata.file_path", "_metadata.file_size").distinct().collect()
-    rows = {rel: spark.read.option("header", True).csv(_p(output_dir, rel)).count()
-            for rel in EXTRACT_FILES.values()}
+    frames = {name: found[0] for name, found in done.items()}
+    try:
+        result = validate_exports(spark, frames, output_dir, settings.track_min_listens)
+    finally:
+        for df in frames.values():
+            df.unpersist()
+    # one row per extract, however many part files it has
+    parts = spark.read.text(_p(output_dir, "*/*.csv")).select("_metadata.file_path", "_metadata.file_size").distinct()
+    extract = F.regexp_extract("file_path", r"([^/]+/[^/]+\.csv)/[^/]*$", 1)
+    sizes = parts.groupBy(extract.alias("extract")).agg(cnt().alias("files"), F.sum("file_size").alias("bytes")).collect()
     return {
-        "rows": rows,
-        "track_thresholds": thresholds,
+        "rows": {EXTRACT_FILES[name]: found[1] for name, found in done.items()},
+        "track_thresholds": done["track_quality"][2],
         "checks": result,
-        "files": {r["file_path"]: {"bytes": r["file_size"]} for r in files},
+        "files": {r["extract"]: {"files": r["files"], "bytes": r["bytes"]} for r in sizes},
     }

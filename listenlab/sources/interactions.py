@@ -43,7 +43,9 @@ def read_interactions(spark: SparkSession, path: str) -> DataFrame:
 
     try:
         df = spark.read.parquet(path)
-    except AnalysisException as exc:  # PATH_NOT_FOUND and friends
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         raise FileNotFoundError(_MISSING_ADVICE.format(path=path)) from exc
     return to_contract(df)
 
@@ -54,10 +56,11 @@ def read_interactions(spark: SparkSession, path: str) -> DataFrame:
 # listening events, so every contract column is derived from it by a fixed,
 # deterministic rule (FIXTURES.md section 2). The rule deliberately makes one
 # user (uid 3) own a third of all rows and twelve tracks own most listens, so
-# skew handling is exercised; it staggers first days per user (uid % 10) so
-# that cohorts start on different days; and it repeats every 50th event once
-# so that full duplicate rows exist. None of this subsets the input: the
-# mapping is the test input itself.
+# skew handling is exercised; it moves each user's events by uid % 10 days
+# (reactions by one day less) so that cohorts start on different days, some
+# users react before they listen, and the span exceeds 30 days; and it repeats
+# every 50th event once so that full duplicate rows exist. Every event of the
+# table is kept.
 
 def interactions_from_events(events: DataFrame) -> DataFrame:
     """Map the ``events`` test table onto the interaction contract (the Spark
@@ -86,10 +89,10 @@ def interactions_from_events(events: DataFrame) -> DataFrame:
         "CAST(CASE WHEN k = 77 THEN NULL ELSE (event_id * 37) % 131 END AS INT) AS ratio",
         """CAST(CASE WHEN k = 88 THEN NULL
                      ELSE 60 + ((CASE WHEN k < 60 THEN k % 12 ELSE k END) * 37) % 300 END AS INT) AS len""",
-    ).selectExpr("*", "CAST(ts_sec div 86400 AS BIGINT) AS d")
-    kept = mapped.where("d >= uid % 10 OR (event_type <> 'listen' AND d >= uid % 10 - 1)")
+    ).selectExpr("* EXCEPT (ts_sec)", """CAST(ts_sec + 86400 * CASE
+        WHEN event_type = 'listen' THEN uid % 10 ELSE greatest(uid % 10 - 1, 0) END AS BIGINT) AS ts_sec""")
     # every 50th event appears twice: one scan, a copy count per row
-    dup = kept.selectExpr("*", "explode(array_repeat(1, CASE WHEN event_id % 50 = 0 THEN 2 ELSE 1 END)) AS _copy")
+    dup = mapped.selectExpr("*", "explode(array_repeat(1, CASE WHEN event_id % 50 = 0 THEN 2 ELSE 1 END)) AS _copy")
     return to_contract(dup.selectExpr(
         "uid", "item_id", "ts_sec AS timestamp", "is_organic", "event_type",
         "CASE WHEN event_type = 'listen' THEN ratio END AS played_ratio_pct",

@@ -1,4 +1,4 @@
-"""Writers: Parquet marts (ZSTD), CSV extracts, JSON report.
+"""Writers: Parquet marts (ZSTD), CSV extracts.
 
 CSV format of the extracts: header row, a byte-order mark before the first
 header, floats as ``%.8f``, NULL as an empty field, booleans as
@@ -9,12 +9,12 @@ task -- only for frames of a few thousand rows at most (day or step grain).
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Extract text format.
 BOM = "\ufeff"
-FLOAT_FORMAT = "%.8f"
 
 
 def write_parquet(df: DataFrame, path: str, sort_keys: list[str] | None = None,
@@ -31,13 +31,26 @@ def sorted_frame(df: DataFrame, sort_keys: list[str] | None, total_order: bool =
     return df.orderBy(*sort_keys) if total_order else df.sortWithinPartitions(*sort_keys)
 
 
+def _float_text():
+    """``%.8f`` of the binary value, rounded half to even, as the original
+    writer does it. Spark's ``format_string`` rounds the shortest decimal text
+    half up instead (1/512 would end in 13, not 12), and no built-in function
+    rounds the binary value, so the text is made in Arrow batches here, at the
+    sink. NULL and NaN are empty."""
+    @F.pandas_udf("string")
+    def text(values: pd.Series) -> pd.Series:
+        return values.map(lambda x: "%.8f" % x, na_action="ignore").astype(object).where(values.notna(), None)
+
+    return text
+
+
 def csv_frame(df: DataFrame) -> DataFrame:
     """All columns rendered as the extract text (see module doc)."""
-    cols = []
+    cols, float_text = [], _float_text()
     for i, f in enumerate(df.schema.fields):
         c, t = F.col(f"`{f.name}`"), f.dataType.simpleString()
         if t in ("double", "float") or t.startswith("decimal"):
-            v = F.when(c.isNotNull(), F.format_string(FLOAT_FORMAT, c.cast("double")))
+            v = float_text(c.cast("double"))
         elif t == "boolean":
             v = F.initcap(c.cast("string"))
         else:
@@ -51,8 +64,3 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     if single_file:
         out = out.coalesce(1)
     out.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
-
-
-def write_json(df: DataFrame, path: str) -> None:
-    """A one-row report frame as JSON (one part)."""
-    df.coalesce(1).write.mode("overwrite").json(path)

@@ -12,7 +12,7 @@ from listenlab.plans.registry import Marts
 def marts(spark):
     m = Marts(spark, SF001, materialized=True)
     return {
-        "stage": m.stage, "product": m.product.cache(), "user": m.user.cache(),
+        "stage": m.stage, "base": m.base, "product": m.product.cache(), "user": m.user.cache(),
         "user_day": m.user_day.cache(), "retention": m.retention.cache(), "track": m.track.cache(),
         "funnel": m.funnel.cache(),
     }
@@ -21,7 +21,7 @@ def marts(spark):
 def _run(marts, **override):
     m = {**marts, **override}
     rows = checks.mart_checks(m["stage"], m["product"], m["user"], m["user_day"], m["retention"],
-                              m["track"], m["funnel"]).collect()
+                              m["track"], m["funnel"], m["base"]).collect()
     return {r.name: r.ok for r in rows}
 
 
@@ -33,6 +33,7 @@ def test_all_checks_pass(marts):
 @pytest.mark.parametrize("mart,corrupt,failing", [
     ("product", lambda d: d.withColumn("events", F.col("events") + F.when(F.col("day_idx") == 0, 1).otherwise(0)),
      "product_events_match_source"),
+    ("product", lambda d: d.withColumn("listens", F.col("listens") + 1), "product_listens_match_source"),
     ("product", lambda d: d.withColumn("listener_like_rate", F.lit(1.5)), "product_reaction_rates_are_valid"),
     ("product", lambda d: d.withColumn("listener_likers", F.col("listener_likers") + 1),
      "product_reactions_match_user_day"),

@@ -4,10 +4,13 @@ import glob
 import json
 import os
 
+import pytest
+
 from conftest import SF001
 from listenlab.plans import jobs
 from listenlab.settings import DEFAULT
 from listenlab.sources import load_fixture
+from listenlab.sources.sinks import csv_frame
 
 
 def test_build_and_export(spark, tmp_path):
@@ -15,13 +18,14 @@ def test_build_and_export(spark, tmp_path):
     src = load_fixture(spark, SF001)
     low = DEFAULT.with_(track_min_listens=20)  # sf0.001 tracks have < 100 listens
     report = jobs.build_marts(spark, None, out, source_df=src, settings=low)
-    assert report["source"]["events"] == 890
+    events = src.count()
+    assert report["source"]["events"] == events
     assert all(report["checks"].values()) and len(report["checks"]) == 11
     assert report["marts"]["mart_recommendation_funnel.parquet"]["rows"] == 4
     # observed totals (collected during the writes) equal a re-count of the files
     for name, summary in report["summaries"].items():
         assert summary["rows"] == spark.read.parquet(f"{out}/{name}.parquet").count(), name
-    assert report["summaries"]["mart_product_day"]["events"] == 890
+    assert report["summaries"]["mart_product_day"]["events"] == events
     text = "".join(open(p, encoding="utf-8").read()
                    for p in glob.glob(f"{out}/mart_build_report.json/part-*"))
     assert json.loads(text)["definitions"]["session_gap_seconds"] == 1800
@@ -41,5 +45,62 @@ def test_build_and_export(spark, tmp_path):
     assert raw.startswith(b"\xef\xbb\xbfsource_order,")               # BOM before the header
     lines = raw.decode("utf-8-sig").splitlines()
     assert lines[1].split(",")[5].count(".") == 1 and len(lines[1].split(",")[5].split(".")[1]) == 8
+    assert er["files"]["03_retention/recommendation_quality.csv"]["files"] == 1
     product_csv = glob.glob(os.path.join(exp, "01_product/product_day.csv/part-*.csv"))[0]
     assert ",True" in open(product_csv, encoding="utf-8-sig").read()  # booleans as True/False
+
+
+def _marts(spark, stage, out):
+    jobs.build_product_mart(spark, stage, f"{out}/p")
+    jobs.build_recommendation_funnel(spark, stage, f"{out}/f")
+    jobs.build_user_mart(spark, stage, f"{out}/u")
+    jobs.build_user_day_mart(spark, stage, f"{out}/d")
+    jobs.build_retention_mart(spark, stage, f"{out}/r")
+    jobs.build_track_mart(spark, stage, f"{out}/t")
+    return {n: sorted(map(str, spark.read.parquet(f"{out}/{n}").collect())) for n in "pfudrt"}
+
+
+def test_a_rebuilt_stage_renews_what_is_derived_from_it(spark, tmp_path):
+    src = load_fixture(spark, SF001)
+    stage = str(tmp_path / "stage")
+    jobs.prepare_events(spark, None, stage, source_df=src)
+    _marts(spark, stage, str(tmp_path / "all"))
+    jobs.prepare_events(spark, None, stage, source_df=src.where("uid = 3"))
+    jobs.prepare_events(spark, None, str(tmp_path / "fresh"), source_df=src.where("uid = 3"))
+    assert _marts(spark, stage, str(tmp_path / "again")) == _marts(spark, str(tmp_path / "fresh"), str(tmp_path / "new"))
+
+
+def test_builders_need_a_prepared_stage(spark, tmp_path):
+    load_fixture(spark, SF001).write.parquet(str(tmp_path / "stage"))
+    with pytest.raises(FileNotFoundError):
+        jobs.build_user_mart(spark, str(tmp_path / "stage"), str(tmp_path / "u"))
+    (tmp_path / "not-parquet").mkdir()
+    (tmp_path / "not-parquet" / "x.parquet").write_text("no")
+    with pytest.raises(Exception) as caught:  # any other error keeps its own name
+        jobs._stage(spark, str(tmp_path / "not-parquet"))
+    assert not isinstance(caught.value, FileNotFoundError)
+
+
+def test_retention_mart_is_ordered_by_cohort_then_lifetime(spark, tmp_path):
+    stage = str(tmp_path / "stage")
+    jobs.prepare_events(spark, None, stage, source_df=load_fixture(spark, SF001))
+    jobs.build_retention_mart(spark, stage, str(tmp_path / "r"))
+    rows = [tuple(r) for r in spark.read.parquet(str(tmp_path / "r")).select(
+        "cohort_day", "recommendation_bucket", "engagement_bucket", "lifetime_day").coalesce(1).collect()]
+    files = sorted(glob.glob(str(tmp_path / "r" / "part-*")))
+    ordered = [tuple(r) for f in files for r in spark.read.parquet(f).select(
+        "cohort_day", "recommendation_bucket", "engagement_bucket", "lifetime_day").collect()]
+    assert ordered == sorted(rows)
+
+
+def test_floats_are_written_as_their_binary_value(spark):
+    values = [1 / 512, 5 / 512, 0.123456785, 1 / 3, 0.0, -0.5, 1e15, float("nan"), None]
+    text = [r[0] for r in csv_frame(spark.createDataFrame([(v,) for v in values], "v double").coalesce(1)).collect()]
+    assert text == ["%.8f" % v if v is not None and v == v else None for v in values]
+    assert text[:2] == ["0.00195312", "0.00976562"]
+
+
+def test_a_track_mart_without_its_columns_is_not_exported(spark, tmp_path):
+    spark.range(3).withColumnRenamed("id", "item_id").write.parquet(str(tmp_path / "mart_track.parquet"))
+    with pytest.raises(ValueError, match="is_reliable_sample"):
+        jobs.export_tracks(spark, str(tmp_path), str(tmp_path / "out"))

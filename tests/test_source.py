@@ -7,11 +7,27 @@ from listenlab.operators import source
 from listenlab.sources import load_fixture, read_interactions
 
 
-def test_fixture_mapping_matches_published_counts(spark):
-    # FIXTURES.md section 3
-    for sf, rows, users in ((SF001, 890, 9), (SF01, 8783, 77)):
-        p = source.source_profile(load_fixture(spark, sf)).first()
-        assert (p.events, p.users, p.items) == (rows, users, 52)
+@pytest.mark.parametrize("sf", [SF001, SF01, "/root/testdata/sf0.1"])
+def test_fixture_mapping_keeps_every_event(spark, sf):
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    copies = events.where("event_id % 50 = 0").count()
+    p = source.source_profile(load_fixture(spark, sf)).first()
+    assert p.events == events.count() + copies and p.items == 52
+
+
+def test_fixture_reaches_day_thirty(spark):
+    from listenlab.operators import exports
+    from listenlab.plans.registry import Marts
+
+    out = exports.export_retention_cohort(Marts(spark, SF01).retention)
+    assert out.where("lifetime_day = 30").count() > 0 and out.where("is_mature_d30").count() > 0
+
+
+def test_profile_reads_the_source_once(spark, tmp_path):
+    load_fixture(spark, SF001).write.parquet(str(tmp_path / "src"))
+    src = read_interactions(spark, str(tmp_path / "src"))
+    for df in (source.source_profile(src), source.source_quality(src)):
+        assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
 
 
 def test_gate_fails_on_null_required_and_unknown_type(spark):
