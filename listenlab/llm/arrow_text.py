@@ -15,7 +15,7 @@ U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C55
 _INVERSE = pow(_BASE, -1, 1 << 64)
 #: Bytes of text worked on at once, unless one text alone is longer.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 
 #: \x20 and \x09-\x0D
 SPACE = np.zeros(256, bool)

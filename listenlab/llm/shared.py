@@ -75,7 +75,17 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+#: Bytes of an Arrow batch. Spark's default of 64 MB is held several times
+#: over outside the heap, for each task, when the rows hold texts.
+BATCH_BYTES = str(8 << 20)
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def map_arrow(df: DataFrame, function, schema: T.StructType | str) -> DataFrame:
-    """``mapInArrow`` whose function lives in this library."""
-    ship(df.sparkSession)
+    """``mapInArrow`` whose function lives in this library. The session's
+    batch size is lowered if it still has Spark's default."""
+    spark = df.sparkSession
+    ship(spark)
+    if spark.conf.get(_BATCH_SETTING) == "67108864b":
+        spark.conf.set(_BATCH_SETTING, BATCH_BYTES)
     return df.mapInArrow(function, schema)

@@ -63,7 +63,9 @@ def test_empty_table(spark):
     assert E.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
-def test_components_of_paths_and_hubs(spark):
+@pytest.mark.parametrize("links_of_a_task", [1 << 20, 20])
+def test_components_of_paths_and_hubs(spark, monkeypatch, links_of_a_task):
+    monkeypatch.setattr("listenlab.llm.components.CONTRACTED", links_of_a_task)
     edges = [(i, i + 1) for i in range(100, 140)] + [(900 + i, 7) for i in range(50)] + [(7, 3), (5, 5), (139, 140), (140, 139)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long").repartition(4)).collect()}
     want = {i: 100 for i in range(100, 141)} | {900 + i: 3 for i in range(50)} | {7: 3, 3: 3}

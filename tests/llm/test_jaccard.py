@@ -83,8 +83,24 @@ def test_sketches_never_exceed_the_difference():
         x = np.unique(rng.integers(0, 1 << 63, rng.integers(1, 400)).astype(np.uint64))
         y = np.unique(np.concatenate([x[rng.random(len(x)) < 0.9], rng.integers(0, 1 << 63, rng.integers(1, 300)).astype(np.uint64)]))
         s = [J.sketch_of(x), J.sketch_of(y)]
-        a, b = J._folded(s, min(map(len, s)) // 8)
-        assert np.bitwise_count(a ^ b).sum() <= len(np.setxor1d(x, y))
+        apart = J._difference(J._number(s[0]), J._number(s[1]))
+        assert apart <= len(np.setxor1d(x, y))
+
+
+def test_both_ways_through_a_list_find_the_same_links():
+    rng = np.random.default_rng(6)
+    for _ in range(20):
+        base = [np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in rng.integers(3, 200, 6)]
+        sets = sorted((np.unique(np.concatenate([b[rng.random(len(b)) < 0.97], rng.integers(0, 1 << 63, rng.integers(0, 4)).astype(np.uint64)]))
+                       for b in base for _ in range(6)), key=len)
+        sets = [s for s in sets if len(s)]
+        size, sketches = np.array([len(s) for s in sets]), [J.sketch_of(s) for s in sets]
+        pos = np.array([rng.integers(0, max(1, len(s) // 15)) for s in sets])
+        found = J._List(size, pos, np.arange(len(sets)), sketches, J.SIMILARITY)
+        every = np.arange(len(sets))
+        u, v, _ = found.partners(every, every)
+        short = J._small_list(size.tolist(), pos.tolist(), sketches, J.SIMILARITY)
+        assert {(a, b) for a, b in zip(u.tolist(), v.tolist()) if a < b} == {(a, b) for a, b, _ in short}
 
 
 def test_spanning_forest_spans():
