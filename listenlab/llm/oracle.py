@@ -30,4 +30,51 @@ SELECT doc_id, size, source_size, round(target, 6) AS target,
 FROM rated
 """
 
-ORACLE: dict[str, str] = {"op10_mixing": MIXING}
+#: All windows, numbered by place among equal ones; a word goes if a window after the first covers it.
+SUBSTRINGS = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+  SELECT doc_id, i, md5(array_to_string(words[i:i + 19], ' ')) AS w FROM texts, unnest(range(1, len(words) - 18)) AS t(i)
+), later AS (
+  SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id, i) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS k FROM later
+), placed AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS k FROM texts
+), kept AS (
+  SELECT p.doc_id, count(*) AS n, string_agg(p.word, ' ' ORDER BY p.k) AS body
+  FROM placed p ANTI JOIN gone g ON g.doc_id = p.doc_id AND g.k = p.k GROUP BY p.doc_id
+)
+SELECT t.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.body, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept k ON k.doc_id = t.doc_id
+"""
+
+#: Pairs by their common shingles, components by walking the links.
+SIMILAR = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(words) >= 3
+           THEN list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' '))
+           WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS grams FROM texts
+), each AS (
+  SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM sets
+), links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM each x JOIN each y ON x.gram = y.gram AND x.doc_id <> y.doc_id
+    AND 10 * x.n >= 9 * y.n AND 10 * y.n >= 9 * x.n
+  GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= 90 * (x.n + y.n - count(*))
+), reached AS (
+  SELECT a AS doc_id, a AS other FROM links
+  UNION
+  SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other
+), least AS (
+  SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
+)
+SELECT s.doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, coalesce(l.component_id, s.doc_id) AS component_id
+FROM sets s LEFT JOIN least l ON l.doc_id = s.doc_id
+"""
+
+ORACLE: dict[str, str] = {"op6_ngram_jaccard_join": SIMILAR, "op9_substring_dedup": SUBSTRINGS, "op10_mixing": MIXING}
