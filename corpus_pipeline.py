@@ -25,8 +25,7 @@ TOKENIZER = "word_bpe_49k.json"
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the models recognise."""
-    predicted = langid.fit(docs).predict(docs.select(F.struct(*docs.columns).alias("document"), "text"))
-    return predicted.where("not rejected").select("document.*")
+    return langid.fit(docs).recognised(docs)
 
 
 def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

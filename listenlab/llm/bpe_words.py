@@ -18,8 +18,9 @@ from listenlab.llm.arrow_text import chunks, span_hashes
 #: The only pre-tokenisation that the byte path reproduces (fixed value of the vocabulary file).
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Words kept by one process; when there are more, it starts afresh.
-MOST_WORDS = 1 << 20
-_SLOTS = 1 << 21
+MOST_WORDS = 1 << 19
+_SLOTS = 1 << 20
+_RECENT = 1 << 15
 
 _SPACE, _LETTER, _NUMBER, _OTHER, _ODD = range(5)
 _KIND = np.full(256, _OTHER, np.uint8)
@@ -73,7 +74,9 @@ class WordIds:
     def _reset(self) -> None:
         self.slot_key = np.zeros(_SLOTS, np.uint64)
         self.slot_word = np.zeros(_SLOTS, np.int32)
-        self.known: dict[int, int] = {}
+        # all words by hash: sorted arrays, and those not yet merged into them
+        self.keys, self.values = np.empty(0, np.uint64), np.empty(0, np.int32)
+        self.recent: dict[int, int] = {}
         self.at = np.zeros(1 << 16, np.int64)
         self.size = np.zeros(1 << 16, np.int32)
         self.pool = np.zeros(1 << 18, np.uint32)
@@ -99,7 +102,12 @@ class WordIds:
         self.size[new] = sizes
         self.pool[self.used:self.used + len(flat)] = flat
         index = np.arange(self.words, self.words + count, dtype=np.int32)
-        self.known.update(zip(hashes.tolist(), index.tolist()))
+        self.recent.update(zip(hashes.tolist(), index.tolist()))
+        if len(self.recent) > _RECENT:
+            keys = np.concatenate([self.keys, np.fromiter(self.recent.keys(), np.uint64, len(self.recent))])
+            values = np.concatenate([self.values, np.fromiter(self.recent.values(), np.int32, len(self.recent))])
+            rank = np.argsort(keys)
+            self.keys, self.values, self.recent = keys[rank], values[rank], {}
         slot = (hashes & np.uint64(_SLOTS - 1)).astype(np.int64)
         free = self.slot_key[slot] == 0
         self.slot_key[slot[free]], self.slot_word[slot[free]] = hashes[free], index[free]
@@ -115,7 +123,12 @@ class WordIds:
         missed = np.flatnonzero(self.slot_key[slot] != h)
         if len(missed):
             u, first, back = np.unique(h[missed], return_index=True, return_inverse=True)
-            found = np.array([self.known.get(k, -1) for k in u.tolist()], np.int32)
+            found = np.full(len(u), -1, np.int32)
+            if len(self.keys):
+                place = np.minimum(np.searchsorted(self.keys, u), len(self.keys) - 1)
+                found = np.where(self.keys[place] == u, self.values[place], found)
+            rest = np.flatnonzero(found < 0)
+            found[rest] = [self.recent.get(k, -1) for k in u[rest].tolist()]
             new = np.flatnonzero(found < 0)
             if len(new):
                 at = missed[first[new]]

@@ -49,8 +49,8 @@ LEAST_TEXTS = 30
 SHARPNESS = 12.0
 UNKNOWN = "und"
 _UNIFORM = 1.0 / 65536
-_CHUNK = 1 << 20
-_FLUSH = 1 << 21
+_CHUNK = 1 << 19
+_FLUSH = 1 << 19
 
 
 def fold(doc_id: Column) -> Column:
@@ -362,8 +362,23 @@ class Identifier:
     calibration: Calibration
 
     def predict(self, docs: DataFrame, text: str = "text") -> DataFrame:
-        """``docs`` with lang_pred, score, cross_entropy, letters, rejected.
-        Each pass over the texts broadcasts the models of one block of
+        """``docs`` with lang_pred, score, cross_entropy, letters, rejected."""
+        out = self._scored(docs, text)
+        score = F.when(F.col("cross_entropy").isNull(), F.lit(0.0)).otherwise(
+            F.least(F.lit(1.0), F.exp(-SHARPNESS * F.col("cross_entropy") - F.col("total"))))
+        return unpacked(out, docs.columns, text, lang_pred=F.col("lang_pred"), score=score, cross_entropy=F.col("cross_entropy"),
+                        letters=F.col("letters"), rejected=self._rejected())
+
+    def recognised(self, docs: DataFrame, text: str = "text") -> DataFrame:
+        """The rows of ``docs`` that are not rejected, as they are."""
+        return unpacked(self._scored(docs, text).where(~self._rejected()), docs.columns, text)
+
+    @staticmethod
+    def _rejected() -> Column:
+        return F.coalesce(F.col("cross_entropy") > F.col("upper"), F.lit(True))
+
+    def _scored(self, docs: DataFrame, text: str) -> DataFrame:
+        """Each pass over the texts broadcasts the models of one block of
         languages and carries the best language so far."""
         out = packed(docs, text)
         schema = T.StructType(out.schema.fields + T._parse_datatype_string(
@@ -371,10 +386,7 @@ class Identifier:
         for at in range(0, max(len(self.models), 1), LANGUAGES):
             block = docs.sparkSession.sparkContext.broadcast((self.models[at:at + LANGUAGES], self.calibration))
             out = map_arrow(out, _scorer(block, at > 0, schema.names), schema)
-        score = F.when(F.col("cross_entropy").isNull(), F.lit(0.0)).otherwise(
-            F.least(F.lit(1.0), F.exp(-SHARPNESS * F.col("cross_entropy") - F.col("total"))))
-        return unpacked(out, docs.columns, text, lang_pred=F.col("lang_pred"), score=score, cross_entropy=F.col("cross_entropy"),
-                        letters=F.col("letters"), rejected=F.coalesce(F.col("cross_entropy") > F.col("upper"), F.lit(True)))
+        return out
 
 
 def _scorer(shared, goes_on: bool, names: list[str]):
