@@ -2,16 +2,18 @@
 
 One interpolated Kneser-Ney model of order 4 per language, over the letters
 of a text (other characters are one word gap). Spark counts the 4-grams of
-all training texts; a model is estimated from them and held as sorted arrays
-of 64-bit hashes with log probabilities and back-off weights. A text gets the
+all training texts, and the models are estimated from all of them: up to WHOLE
+4-grams over all languages as sorted arrays of 64-bit hashes with log
+probabilities and back-off weights, else as tables (``Tables``). A text gets the
 language of the lowest cross-entropy per letter; it is rejected when that
 cross-entropy lies outside what texts of this language and length have in a
 calibration fold that no model has seen.
 
-Bounds: a model keeps at most 2**SLOT_BITS 4-grams (where several fall into
-one slot, the most frequent stays), whatever the corpus; languages are scored
-in blocks of LANGUAGES, so a broadcast holds at most that many models. The
-counts cover every training text. Calibration uses the texts of one fold, at
+Bounds: no 4-gram is left out. Models reach the driver and are broadcast only
+when their 4-grams were counted to be WHOLE at most, in blocks of LANGUAGES.
+Beyond that they stay tables that grow with the corpus; the 4-grams of the
+texts are joined with them, but for the most frequent ones, of which HEAD
+values (4-grams times languages) are broadcast. Calibration uses the texts of one fold, at
 most CALIBRATION of them by hash order of their ids.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0
@@ -33,11 +35,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from listenlab.llm.arrow_text import text_bytes
-from listenlab.llm.shared import map_arrow, packed, unpacked
+from listenlab.llm.shared import keep, map_arrow, packed, unpacked
 
 ORDER = 4
-SLOT_BITS = 19
 LANGUAGES = 12
+#: 4-grams over all languages whose models are held in memory; more stay tables.
+WHOLE = 1 << 21
+#: Values of the most frequent 4-grams that are broadcast beside tables.
+HEAD = 1 << 20
 #: Texts that calibrate the rejection, at most.
 CALIBRATION = 20_000
 #: How far above the mean cross-entropy of its language and length class a
@@ -261,18 +266,136 @@ def estimate(lang: str, grams: np.ndarray, counts: np.ndarray) -> Model:
     return out
 
 
-def train(docs: DataFrame, text: str = "text", lang: str = "lang", slot_bits: int = SLOT_BITS) -> list[Model]:
-    """One model per non-null language of ``docs``, by name. What reaches the
-    driver is at most 2**slot_bits 4-grams per language."""
-    counted = gram_counts(docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()), text, lang)
-    slot = F.shiftrightunsigned(F.xxhash64("gram"), 64 - slot_bits)
-    kept = (counted.groupBy("lang", slot.alias("slot")).agg(F.max(F.struct("n", (-F.col("gram")).alias("minus"))).alias("top"))
-            .select("lang", (-F.col("top.minus")).alias("gram"), F.col("top.n").alias("n"))).toArrow()
-    names = kept.column("lang").to_numpy()
-    grams, counts = kept.column("gram").to_numpy().view(np.uint64), kept.column("n").to_numpy()
+class Tables:
+    """The models of all languages as tables: the same estimate as
+    ``estimate``, by joins over all 4-grams. ``levels[k]`` has for each
+    (k+1)-gram a map from the number of a language to its log probability and
+    back-off weight."""
+
+    def __init__(self, counted: DataFrame):
+        self.names = sorted(r["lang"] for r in counted.select("lang").distinct().collect())
+        numbers = F.create_map(*[F.lit(x) for i, name in enumerate(self.names) for x in (name, i)])
+        counts = [keep(counted.select(numbers[F.col("lang")].alias("lang"), "gram", "n"), "grams")]
+        for order in range(ORDER - 1, 0, -1):  # lower orders: in how many contexts a gram occurs
+            shorter = counts[0].select("lang", _last(F.col("gram"), order).alias("gram"))
+            counts.insert(0, keep(shorter.groupBy("lang", "gram").agg(F.count("*").alias("n")), "grams"))
+        contexts = []
+        for order, level in enumerate(counts, 1):
+            ones, twos = F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
+            discount = F.when(ones > 0, F.least(F.lit(0.95), F.greatest(F.lit(0.1), ones / (ones + 2 * twos)))).otherwise(F.lit(0.5))
+            found = {r["lang"]: r["d"] for r in level.groupBy("lang").agg(discount.alias("d")).collect()}
+            d = F.create_map(*[F.lit(x) for pair in found.items() for x in pair])[F.col("lang")]
+            counts[order - 1] = level.withColumns({"d": d, "context": _before(F.col("gram"), order)})
+            contexts.append(keep(counts[order - 1].groupBy("lang", "context").agg(
+                F.sum("n").alias("total"), (F.first("d") * F.count("*") / F.sum("n")).alias("share")), "contexts"))
+        self.unseen = [0.0] * len(self.names)
+        for r in contexts[0].collect():  # one row per language
+            self.unseen[r["lang"]] = float(np.log(r["share"] * _UNIFORM))
+        self.levels, lower = [], None
+        for order, level in enumerate(counts, 1):
+            level = level.join(contexts[order - 1], ["lang", "context"])
+            if lower is None:
+                level = level.withColumn("lower", F.lit(_UNIFORM))
+            else:
+                level = level.withColumn("shorter", _last(F.col("gram"), order - 1)).join(
+                    lower.select("lang", F.col("gram").alias("shorter"), F.col("p").alias("lower")), ["lang", "shorter"])
+            p = F.greatest(F.col("n") - F.col("d"), F.lit(0.0)) / F.col("total") + F.col("share") * F.col("lower")
+            lower = keep(level.select("lang", "gram", p.alias("p")), "probabilities")
+            held = lower.withColumn("backoff", F.lit(0.0))
+            if order < ORDER:
+                weights = contexts[order].select("lang", F.col("context").alias("gram"), F.log("share").alias("weight"))
+                held = lower.join(weights, ["lang", "gram"], "left").withColumn("backoff", F.coalesce("weight", F.lit(0.0)))
+            entry = F.struct("lang", F.struct(F.log("p").alias("logp"), "backoff"))
+            self.levels.append(keep(held.groupBy("gram").agg(F.map_from_entries(F.collect_list(entry)).alias("by_lang")), "model"))
+        often = counted.groupBy("gram").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "gram").limit(max(1, HEAD // len(self.names)))
+        head = self.values(often.select("gram")).orderBy(F.col("gram")).toArrow()
+        keys = head.column("gram").to_numpy().view(np.uint64)
+        values = head.column("values").combine_chunks().flatten().to_numpy().reshape(len(keys), len(self.names))
+        rank = np.argsort(keys)
+        self.head = keys[rank], values[rank]
+
+    def values(self, grams: DataFrame) -> DataFrame:
+        """gram, values: of distinct packed 4-grams log p(last | three before) by language."""
+        found = grams
+        for order in range(ORDER, 0, -1):
+            level = self.levels[order - 1]
+            sides = [("own", _last(F.col("gram"), order))]
+            if order < ORDER:
+                sides.append(("before", _before(_last(F.col("gram"), order + 1), order + 1)))
+            for side, key in sides:
+                name = f"{side}{order}"
+                held = level.select(F.col("gram").alias(f"{name}_key"), F.col("by_lang").alias(name))
+                held = F.broadcast(held) if order == 1 else held  # 2^16 letters at most
+                found = found.withColumn(f"{name}_key", key).join(held, f"{name}_key", "left").drop(f"{name}_key")
+
+        def value(i: int) -> Column:
+            out = F.coalesce(F.col("own1")[i]["logp"], F.lit(self.unseen[i]))
+            for order in range(2, ORDER + 1):
+                weight = F.coalesce(F.col(f"before{order - 1}")[i]["backoff"], F.lit(0.0))
+                out = F.coalesce(F.col(f"own{order}")[i]["logp"], weight + out)
+            return out
+
+        return found.select("gram", F.array(*[value(i) for i in range(len(self.names))]).alias("values"))
+
+    def sums(self, docs: DataFrame, text: str) -> DataFrame:
+        """``packed`` rows of ``docs`` with ``letters`` and ``sums``: the log
+        likelihood of the text by language."""
+        out = packed(docs, text).withColumn("row_no", F.monotonically_increasing_id())
+        schema = T.StructType(out.schema.fields + T._parse_datatype_string(
+            "letters long, head array<double>, grams array<long>, times array<long>").fields)
+        shared = docs.sparkSession.sparkContext.broadcast(self.head)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known, values = shared.value
+            for batch in batches:
+                at_row = 0
+                for lo, hi, buf, offs in _runs(batch.column(1)):
+                    keys, at = gram_keys(*letters(buf, offs))
+                    n = np.diff(at)
+                    found, hit = _find(known, keys)
+                    part = [[], [], []]
+                    for i in range(hi - lo):
+                        own = slice(at[i], at[i + 1])
+                        part[0].append(values[found[own][hit[own]]].sum(axis=0))
+                        u, times = np.unique(keys[own][~hit[own]], return_counts=True)
+                        part[1].append(u.view(np.int64))
+                        part[2].append(times.astype(np.int64))
+                    rows = batch.slice(at_row, hi - lo)
+                    at_row += hi - lo
+                    yield pa.RecordBatch.from_arrays(
+                        [*rows.columns, pa.array(n.astype(np.int64)), pa.array(part[0], pa.list_(pa.float64())),
+                         *[pa.array(x, pa.list_(pa.int64())) for x in part[1:]]], names=schema.names)
+
+        kept = keep(map_arrow(out, run, schema), "letters")
+        open_ = kept.select("row_no", F.explode(F.arrays_zip("grams", "times")).alias("x")).select("row_no", "x.grams", "x.times")
+        open_ = open_.withColumnRenamed("grams", "gram")
+        values = self.values(open_.select("gram").distinct())
+        rest = open_.join(values, "gram").groupBy("row_no").agg(
+            F.array(*[F.sum(F.col("values")[i] * F.col("times")) for i in range(len(self.names))]).alias("rest"))
+        both = F.when(F.col("rest").isNull(), F.col("head")).otherwise(F.zip_with("head", "rest", lambda a, b: a + b))
+        return kept.drop("grams", "times").join(rest, "row_no", "left").select("row", "body", "letters", both.alias("sums"))
+
+
+def _last(gram: Column, order: int) -> Column:
+    return gram.bitwiseAND(F.lit((1 << (16 * order)) - 1)) if order < ORDER else gram
+
+
+def _before(gram: Column, order: int) -> Column:
+    return F.shiftrightunsigned(gram, 16) if order > 1 else F.lit(0).cast("long")
+
+
+def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> list[Model] | Tables:
+    """One model per non-null language of ``docs``, by name, from all its
+    4-grams. They reach the driver only if they are WHOLE at most."""
+    counted = keep(gram_counts(docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()), text, lang), "grams")
+    if counted.count() > WHOLE:
+        return Tables(counted)
+    held = counted.toArrow()
+    codes = held.column("lang").combine_chunks().dictionary_encode()
+    grams, counts = held.column("gram").to_numpy().view(np.uint64), held.column("n").to_numpy()
     out = []
-    for name in sorted(set(names.tolist())):
-        own = names == name
+    for name, code in sorted((name, code) for code, name in enumerate(codes.dictionary.to_pylist())):
+        own = codes.indices.to_numpy() == code
         rank = np.argsort(grams[own])
         out.append(estimate(name, grams[own][rank], counts[own][rank]))
     return out
@@ -313,27 +436,32 @@ class Calibration:
         return out
 
 
+def _lowest(names: list[str], h: np.ndarray, n: np.ndarray, calibration: Calibration | None):
+    """What ``_choose`` gives, from cross-entropies (a column per name) and letters."""
+    best = h.argmin(axis=1)
+    low = h[np.arange(len(h)), best]
+    has = np.isfinite(low)
+    gap = np.where(has[:, None], h - np.where(has, low, 0)[:, None], 0)
+    total = np.where(has, np.log(np.exp(-SHARPNESS * gap).sum(axis=1)) - SHARPNESS * np.where(has, low, 0), -np.inf)
+    name = np.where(has, np.array(names, object)[best], UNKNOWN)
+    limit = calibration.limits(name, length_class(n)) if calibration else np.full(len(n), np.inf)
+    return name, low, total, n, limit
+
+
 def _choose(models: list[Model], calibration: Calibration | None, column: pa.Array):
     """Arrays (name, cross-entropy, log of the summed likelihoods, letters,
     limit) for a column of texts."""
-    names = np.array([m.lang for m in models] or [UNKNOWN], object)
+    names = [m.lang for m in models] or [UNKNOWN]
     out = [[], [], [], [], []]
     for lo, hi, buf, offs in _runs(column):
         h, n = entropies(models, buf, offs) if models else (np.full((hi - lo, 1), np.inf), np.zeros(hi - lo, np.int64))
-        best = h.argmin(axis=1)
-        low = h[np.arange(len(h)), best]
-        has = np.isfinite(low)
-        gap = np.where(has[:, None], h - np.where(has, low, 0)[:, None], 0)
-        total = np.where(has, np.log(np.exp(-SHARPNESS * gap).sum(axis=1)) - SHARPNESS * np.where(has, low, 0), -np.inf)
-        name = np.where(has, names[best], UNKNOWN)
-        limit = calibration.limits(name, length_class(n)) if calibration else np.full(len(n), np.inf)
-        for x, y in zip(out, (name, low, total, n, limit)):
+        for x, y in zip(out, _lowest(names, h, n, calibration)):
             x.append(y)
     kinds = (object, float, float, np.int64, float)
     return [np.concatenate(x).astype(k) if x else np.empty(0, k) for x, k in zip(out, kinds)]
 
 
-def calibrate(docs: DataFrame, models: list[Model], doc_id: str = "doc_id", text: str = "text",
+def calibrate(docs: DataFrame, models: list[Model] | Tables, doc_id: str = "doc_id", text: str = "text",
               lang: str = "lang", most: int = CALIBRATION) -> Calibration:
     """From labelled texts that the models have not seen; only correctly
     recognised ones count."""
@@ -341,25 +469,17 @@ def calibrate(docs: DataFrame, models: list[Model], doc_id: str = "doc_id", text
     chosen = labelled.select(doc_id).orderBy(F.xxhash64(doc_id), doc_id).limit(most)
     sample = labelled.join(F.broadcast(chosen.distinct()), doc_id, "left_semi").select(
         F.col(text), F.col(lang).cast("string"))
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            name, h, _, n, _ = _choose(shared.value, None, batch.column(0))
-            right = np.array(batch.column(1).to_pylist(), object) == name
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(name[right].tolist(), pa.string()), pa.array(length_class(n[right])),
-                 pa.array(h[right])], names=["lang", "size", "h"])
-
-    found = map_arrow(sample, measure, "lang string, size long, h double")
+    scored = Identifier(models, None)._scored(sample.select(F.col(text).alias("text"), F.col(lang).alias("lang")), "text")
+    found = scored.where((F.col("lang_pred") == F.col("row.lang")) & F.col("cross_entropy").isNotNull()).select(
+        F.col("lang_pred").alias("lang"), (F.length(F.bin("letters")) - 1).alias("size"), F.col("cross_entropy").alias("h"))
     rows = found.groupBy("lang", "size").agg(F.count("*").alias("n"), F.avg("h").alias("mean"), F.stddev_pop("h").alias("sd")).collect()
     return Calibration({(r["lang"], r["size"]): (r["mean"], max(r["sd"], 0.01)) for r in rows if r["n"] >= LEAST_TEXTS})
 
 
 @dataclass
 class Identifier:
-    models: list[Model]
-    calibration: Calibration
+    models: list[Model] | Tables
+    calibration: Calibration | None
 
     def predict(self, docs: DataFrame, text: str = "text") -> DataFrame:
         """``docs`` with lang_pred, score, cross_entropy, letters, rejected."""
@@ -383,6 +503,9 @@ class Identifier:
         out = packed(docs, text)
         schema = T.StructType(out.schema.fields + T._parse_datatype_string(
             "lang_pred string, cross_entropy double, total double, letters long, upper double").fields)
+        if isinstance(self.models, Tables):
+            shared = docs.sparkSession.sparkContext.broadcast((self.models.names, self.calibration))
+            return map_arrow(self.models.sums(docs, text), _summed(shared, schema.names), schema)
         for at in range(0, max(len(self.models), 1), LANGUAGES):
             block = docs.sparkSession.sparkContext.broadcast((self.models[at:at + LANGUAGES], self.calibration))
             out = map_arrow(out, _scorer(block, at > 0, schema.names), schema)
@@ -400,14 +523,28 @@ def _scorer(shared, goes_on: bool, names: list[str]):
                 older = ~(h < np.where(np.isnan(h0), np.inf, h0))
                 name, h, limit = np.where(older, name0, name), np.where(older, h0, h), np.where(older, limit0, limit)
                 total = np.logaddexp(total0, total)
-            bad = ~np.isfinite(h)
-            state = [pa.array(name.tolist(), pa.string()), pa.array(h, mask=bad), pa.array(np.where(bad, 0.0, total)),
-                     pa.array(n), pa.array(limit)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *state], names=names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *_state(name, h, total, n, limit)], names=names)
 
     return run
 
 
+def _summed(shared, names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        languages, calibration = shared.value
+        for batch in batches:
+            n = batch.column(2).to_numpy()
+            sums = batch.column(3).flatten().to_numpy().reshape(len(n), len(languages))
+            h = np.where((n > 0)[:, None], -sums / np.maximum(n, 1)[:, None], np.inf)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *_state(*_lowest(languages, h, n, calibration))], names=names)
+
+    return run
+
+
+def _state(name, h, total, n, limit) -> list[pa.Array]:
+    bad = ~np.isfinite(h)
+    return [pa.array(name.tolist(), pa.string()), pa.array(h, mask=bad), pa.array(np.where(bad, 0.0, total)), pa.array(n), pa.array(limit)]
+
+
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Identifier:
     """Models from folds 0 and 1, calibration from fold 3; fold 2 is never read."""
     part = docs.select(doc_id, text, lang).withColumn("fold", fold(F.col(doc_id)))

@@ -82,6 +82,31 @@ def test_held_out_accuracy_rejection_and_blocks(spark, monkeypatch):
         assert again[d]["lang_pred"] == r["lang_pred"] and abs(again[d]["score"] - r["score"]) < 1e-9
 
 
+def test_models_hold_every_gram(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 4000)), "aa") for i in range(10)]
+    grams = {g for _, text, _ in rows for g in packed(text).tolist()}
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))[0]
+    assert len(grams) > 30_000 and len(model.grams[3]) == len(grams)
+
+
+@pytest.mark.parametrize("head", [0, 60, 1 << 20])
+def test_tables_give_what_models_in_memory_give(spark, monkeypatch, head):
+    odd = [(9001, "zzqxj vvkkq jjxqz", "aa"), (9002, None, "aa"), (9003, "123 !!", "bb"), (None, "k", "aa"), (None, "\u4e2d\u6587 \U0001f600", None)]
+    df = spark.createDataFrame(corpus(spark) + odd, "doc_id long, text string, lang string").repartition(3)
+    monkeypatch.setattr(langid, "LEAST_TEXTS", 3)
+    want = sorted((tuple(r) for r in langid.fit(df).predict(df).collect()), key=str)
+    monkeypatch.setattr(langid, "WHOLE", 0)
+    monkeypatch.setattr(langid, "HEAD", head)
+    found = langid.fit(df)
+    assert isinstance(found.models, langid.Tables)
+    got = sorted((tuple(r) for r in found.predict(df).collect()), key=str)
+    assert len(got) == len(want)
+    for a, b in zip(got, want):
+        assert [x for x in a if not isinstance(x, float)] == [x for x in b if not isinstance(x, float)]
+        assert [x for x in a if isinstance(x, float)] == pytest.approx([x for x in b if isinstance(x, float)], abs=1e-5)
+
+
 def test_query_on_odd_documents(spark, tmp_path):
     cases.docs(spark).write.parquet(str(tmp_path / "documents.parquet"))
     got = queries.op1_language_id(spark, str(tmp_path)).collect()
