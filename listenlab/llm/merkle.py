@@ -5,33 +5,68 @@ sections that end at a blank line or at a paragraph whose own hash says so
 (one in eight on average), so that an edit moves no section border but its
 own. A section's hash is that of its paragraphs' hashes, the root's that of
 the sections' hashes, all SHA-256: equal roots mean equal texts, and going
-down the branches that differ locates edits. Each paragraph also carries the
-hashes of its clauses, by which two trees are likened: twice the common
-clause length over the sum of both, on distinct clauses.
-
-Defined cases: a null text is empty; the likeness of two empty texts is 1, of
-an empty and another 0; an empty table gives no rows; see ``next_in_order``
+down the branches that differ locates edits. The leaves under a paragraph are
+runs of units (words, single ideographs or kana, words of over LONGEST
+characters in parts), each ended by a unit whose hash says so (one in
+LEAF_UNITS on average, after LEAF_MOST at the latest), so that no leaf needs
+punctuation. Two trees are likened by them: twice the common length over the
+sum of both, on distinct leaves; those that one tree lacks are looked for
+under the sections that differ only.
+
+Defined cases: a null text is empty; the likeness of equal texts is 1, of an
+empty and another 0; an empty table gives no rows; see ``next_in_order``
 for ids that are null or repeat."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from listenlab.llm.shared import packed, parallelism, unpacked
 
 SECTION_PARAGRAPHS = 8
-#: Clauses end at punctuation marks and line ends.
-_CLAUSE = r"(?<=[.,;:!?\n])"
+LEAF_UNITS, LEAF_MOST, LONGEST = 4, 16, 24
+_SINGLE = r"\p{IsIdeographic}\p{IsHiragana}\p{IsKatakana}"
+#: Units; white space goes with the unit before it.
+_UNIT = rf"[{_SINGLE}]\s{{0,{LONGEST}}}|[^\s{_SINGLE}]{{1,{LONGEST}}}\s{{0,{LONGEST}}}|\s{{1,{LONGEST}}}"
 _WEIGHT_BITS = 20
 
 
-def clauses(text: Column) -> Column:
-    """Distinct clauses as numbers: hash above, length (code points, to 2^20 - 1) below."""
+def _bound(value: Column, function: Callable[[Column], Column]) -> Column:
+    """``function`` of ``value``, which is evaluated once."""
+    return F.element_at(F.transform(F.array(value), function), 1)
+
+
+def _leaves(paragraph: Column) -> Column:
+    """The leaves of a paragraph as numbers: hash above, length (code points) below."""
+    def runs(units: Column) -> Column:
+        ends = F.filter(F.transform(units, lambda u, i: F.when(
+            (F.xxhash64(u) % LEAF_UNITS == 0) | (i + 1 == F.size(units)), i + 1)), lambda e: e.isNotNull())
+        return _bound(ends, lambda e: _bound(F.flatten(F.transform(e, lambda end, k: split(before(e, k), end))), lambda e2: F.transform(
+            e2, lambda end, k: F.array_join(F.slice(units, before(e2, k) + 1, end - before(e2, k)), ""))))
+
+    def before(ends: Column, k: Column) -> Column:
+        return F.when(k > 0, F.get(ends, k - 1)).otherwise(F.lit(0))
+
+    def split(start: Column, end: Column) -> Column:
+        return F.when(end - start > LEAF_MOST, F.concat(F.sequence(start + LEAF_MOST, end - 1, F.lit(LEAF_MOST)), F.array(end))).otherwise(F.array(end))
+
     most = (1 << _WEIGHT_BITS) - 1
-    pieces = F.filter(F.split(text, _CLAUSE, -1), lambda c: c != "")
-    return F.array_distinct(F.transform(pieces, lambda c: F.shiftleft(F.shiftright(F.xxhash64(c), _WEIGHT_BITS), _WEIGHT_BITS)
-                                        .bitwiseOR(F.least(F.char_length(c), F.lit(most)).cast("long"))))
+    leaves = _bound(F.regexp_extract_all(paragraph, F.lit(_UNIT), F.lit(0)), runs)
+    return F.transform(leaves, lambda c: F.shiftleft(F.shiftright(F.xxhash64(c), _WEIGHT_BITS), _WEIGHT_BITS)
+                       .bitwiseOR(F.least(F.char_length(c), F.lit(most)).cast("long")))
+
+
+def clauses(text: Column) -> Column:
+    """The distinct leaves of a text as numbers."""
+    return leaves_of(tree(text))
+
+
+def leaves_of(a: Column) -> Column:
+    """The distinct leaves of a tree."""
+    return F.array_distinct(F.flatten(F.flatten(F.transform(a["sections"], lambda s: s["leaves"]))))
 
 
 def _weight(numbers: Column) -> Column:
@@ -40,17 +75,37 @@ def _weight(numbers: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """0 to 1 for two arrays of clauses."""
+    """0 to 1 for two arrays of leaves."""
     total = _weight(a) + _weight(b)
     return F.when(total == 0, F.lit(1.0)).otherwise(
         F.lit(2.0) * _weight(F.array_intersect(a, b)) / total)
 
 
+def lacking(a: Column, b: Column) -> Column:
+    """The distinct leaves of tree ``a`` that tree ``b`` lacks. Only sections
+    whose hash the other tree lacks are opened."""
+    missing = F.array_except(F.transform(a["sections"], lambda s: s["hash"]), F.transform(b["sections"], lambda s: s["hash"]))
+    opened = _bound(missing, lambda m: F.filter(a["sections"], lambda s: F.array_contains(m, s["hash"])))
+    found = F.array_except(F.flatten(F.flatten(F.transform(opened, lambda s: s["leaves"]))), leaves_of(b))
+    return F.when(a["root"] == b["root"], F.array().cast("array<bigint>")).otherwise(found)
+
+
+def tree_likeness(a: Column, b: Column) -> Column:
+    """``likeness`` of the leaves of two trees, by what each one lacks."""
+    total = _weight(leaves_of(a)) + _weight(leaves_of(b))
+    apart = _weight(lacking(a, b)) + _weight(lacking(b, a))
+    return F.when(a["root"] == b["root"], F.lit(1.0)).when(total == 0, F.lit(0.0)).otherwise((total - apart) / total)
+
+
 def tree(text: Column) -> Column:
-    """struct<root, sections: array<struct<hash, first, paragraphs>>>, where
-    ``first`` is the section's first paragraph and ``paragraphs`` their hashes."""
-    hashes = F.transform(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda p: F.struct(
-        F.sha2(p, 256).alias("hash"), (p == "").alias("blank")))
+    """struct<root, sections: array<struct<hash, first, paragraphs, leaves>>>,
+    where ``first`` is the section's first paragraph, ``paragraphs`` their
+    hashes and ``leaves`` an array of numbers for each of them."""
+    return _bound(F.split(F.coalesce(text, F.lit("")), "\n", -1), _tree)
+
+
+def _tree(pieces: Column) -> Column:
+    hashes = F.transform(pieces, lambda p: F.struct(F.sha2(p, 256).alias("hash"), (p == "").alias("blank")))
     empty = F.array().cast("array<struct<hash:string,first:int,paragraphs:array<string>>>")
     zero = F.struct(empty.alias("done"), F.array().cast("array<string>").alias("open"), F.lit(0).alias("n"))
 
@@ -70,9 +125,13 @@ def tree(text: Column) -> Column:
         rest = F.when(F.size(state["open"]) > 0, close(state["done"], state["open"], state["n"] - F.size(state["open"])))
         return F.coalesce(rest, state["done"])
 
-    sections = F.aggregate(hashes, zero, step, finish)
-    return F.element_at(F.transform(F.array(sections), lambda s: F.struct(
-        F.sha2(F.array_join(F.transform(s, lambda x: x["hash"]), ""), 256).alias("root"), s.alias("sections"))), 1)
+    def with_leaves(s: Column) -> Column:
+        leaves = F.transform(F.slice(pieces, s["first"] + 1, F.size(s["paragraphs"])), _leaves)
+        return F.struct(s["hash"].alias("hash"), s["first"].alias("first"), s["paragraphs"].alias("paragraphs"), leaves.alias("leaves"))
+
+    return _bound(F.aggregate(hashes, zero, step, finish), lambda s: F.struct(
+        F.sha2(F.array_join(F.transform(s, lambda x: x["hash"]), ""), 256).alias("root"),
+        F.transform(s, with_leaves).alias("sections")))
 
 
 def differing(a: Column, b: Column) -> Column:

@@ -41,13 +41,13 @@ def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = merkle.next_in_order(table(spark, sf_dir, "documents").select("doc_id", "text"))
     docs = docs.withColumn("text", F.coalesce("text", F.lit("")))
     docs = docs.withColumn("edited", merkle.edited(F.col("text"), F.col("next_text")))
-    own = docs.withColumns({"own": merkle.clauses(F.col("text"))})
-    return own.select(
+    own, other, following = F.col("own"), F.col("other"), F.col("following")
+    trees = docs.withColumns({"own": merkle.tree(F.col("text")), "other": merkle.tree(F.col("edited")),
+                              "following": merkle.tree(F.col("next_text"))})
+    return trees.select(
         "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-        merkle.tree(F.col("text"))["root"].alias("fingerprint"),
-        merkle.tree(F.col("edited"))["root"].alias("edited_fingerprint"),
-        merkle.likeness(F.col("own"), merkle.clauses(F.col("edited"))).alias("near_edited"),
-        merkle.likeness(F.col("own"), merkle.clauses(F.col("next_text"))).alias("near_next"))
+        own["root"].alias("fingerprint"), other["root"].alias("edited_fingerprint"),
+        merkle.tree_likeness(own, other).alias("near_edited"), merkle.tree_likeness(own, following).alias("near_next"))
 
 
 def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

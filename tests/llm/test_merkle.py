@@ -58,3 +58,26 @@ def test_differing_branches_locate_the_edit(spark):
         merkle.likeness(merkle.clauses(F.col("a")), merkle.clauses(F.col("b"))).alias("near"))
     r = df.first()
     assert [x["paragraph"] for x in r["d"]] == [41] and r["same"] == [] and 0.95 < r["near"] < 1
+
+
+def test_half_of_a_text_without_punctuation_is_found_again(spark):
+    words = " ".join(f"w{i * 7919 % 1000}" for i in range(300))
+    han = "".join(chr(0x4E00 + i * 7919 % 3000) for i in range(300))
+    texts = [words, han, han + "\uff0c\u3002", "x" * 5000, "same word " * 200]
+    rows = [(t, t[:len(t) // 2] + " ".join(f"q{i * 31 % 1000}" for i in range(len(t)))[:len(t) // 2]) for t in texts]
+    df = spark.createDataFrame(rows, "a string, b string").select(
+        merkle.tree(F.col("a")).alias("a"), merkle.tree(F.col("b")).alias("b"))
+    near = [r[0] for r in df.select(merkle.tree_likeness(F.col("a"), F.col("b"))).collect()]
+    flat = [r[0] for r in df.select(merkle.likeness(merkle.leaves_of(F.col("a")), merkle.leaves_of(F.col("b")))).collect()]
+    assert near == pytest.approx(flat) and all(0.35 < x < 0.65 for x in near[:3]) and all(x > 0 for x in near)
+    a, b = words, words[:700] + " more" + words[700:]  # an insertion moves no border but its own
+    moved = spark.createDataFrame([(a, b)], "a string, b string").select(
+        merkle.tree_likeness(merkle.tree(F.col("a")), merkle.tree(F.col("b")))).first()[0]
+    assert 0.9 < moved < 1
+
+
+def test_query_likens_the_edited_half(spark, tmp_path):
+    rows = [(d, " ".join(f"d{d}w{i * 7919 % 1000}" for i in range(200)), "en", "s", 1) for d in range(4)]
+    spark.createDataFrame(rows, cases.DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.op3_document_fingerprints(spark, str(tmp_path)).collect()
+    assert all(0.3 < r["near_edited"] < 0.7 and r["near_next"] < 0.1 for r in got)
