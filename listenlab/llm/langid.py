@@ -13,8 +13,8 @@ Bounds: no 4-gram is left out. Models reach the driver and are broadcast only
 when their 4-grams were counted to be WHOLE at most, in blocks of LANGUAGES.
 Beyond that they stay tables that grow with the corpus; the 4-grams of the
 texts are joined with them, but for the most frequent ones, of which HEAD
-values (4-grams times languages) are broadcast. Calibration uses the texts of one fold, at
-most CALIBRATION of them by hash order of their ids.
+values (4-grams times languages) are broadcast. Calibration uses all texts of
+one fold and results in a row per language and length class.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0
 and rejected; ties between languages go to the first by name; rows that
@@ -43,8 +43,6 @@ LANGUAGES = 12
 WHOLE = 1 << 21
 #: Values of the most frequent 4-grams that are broadcast beside tables.
 HEAD = 1 << 20
-#: Texts that calibrate the rejection, at most.
-CALIBRATION = 20_000
 #: How far above the mean cross-entropy of its language and length class a
 #: text may lie: in standard deviations, and at least in nats per letter.
 TOLERANCE = 6.0
@@ -461,15 +459,11 @@ def _choose(models: list[Model], calibration: Calibration | None, column: pa.Arr
     return [np.concatenate(x).astype(k) if x else np.empty(0, k) for x, k in zip(out, kinds)]
 
 
-def calibrate(docs: DataFrame, models: list[Model] | Tables, doc_id: str = "doc_id", text: str = "text",
-              lang: str = "lang", most: int = CALIBRATION) -> Calibration:
-    """From labelled texts that the models have not seen; only correctly
-    recognised ones count."""
+def calibrate(docs: DataFrame, models: list[Model] | Tables, text: str = "text", lang: str = "lang") -> Calibration:
+    """From all labelled texts that the models have not seen; only correctly
+    recognised ones count. The result has a row per language and length class."""
     labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    chosen = labelled.select(doc_id).orderBy(F.xxhash64(doc_id), doc_id).limit(most)
-    sample = labelled.join(F.broadcast(chosen.distinct()), doc_id, "left_semi").select(
-        F.col(text), F.col(lang).cast("string"))
-    scored = Identifier(models, None)._scored(sample.select(F.col(text).alias("text"), F.col(lang).alias("lang")), "text")
+    scored = Identifier(models, None)._scored(labelled.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")), "text")
     found = scored.where((F.col("lang_pred") == F.col("row.lang")) & F.col("cross_entropy").isNotNull()).select(
         F.col("lang_pred").alias("lang"), (F.length(F.bin("letters")) - 1).alias("size"), F.col("cross_entropy").alias("h"))
     rows = found.groupBy("lang", "size").agg(F.count("*").alias("n"), F.avg("h").alias("mean"), F.stddev_pop("h").alias("sd")).collect()
@@ -549,4 +543,4 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     """Models from folds 0 and 1, calibration from fold 3; fold 2 is never read."""
     part = docs.select(doc_id, text, lang).withColumn("fold", fold(F.col(doc_id)))
     models = train(part.where("fold in (0, 1)"), text, lang)
-    return Identifier(models, calibrate(part.where("fold = 3"), models, doc_id, text, lang))
+    return Identifier(models, calibrate(part.where("fold = 3"), models, text, lang))

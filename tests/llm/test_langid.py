@@ -107,6 +107,12 @@ def test_tables_give_what_models_in_memory_give(spark, monkeypatch, head):
         assert [x for x in a if isinstance(x, float)] == pytest.approx([x for x in b if isinstance(x, float)], abs=1e-5)
 
 
+def test_a_rare_language_of_a_large_fold_is_calibrated(spark):
+    models = [langid.estimate(name, *np.unique(packed(text), return_counts=True)) for name, text in (("aa", "kato mikato toka "), ("bb", "wregno gnowre "))]
+    docs = spark.range(60_000).selectExpr("id as doc_id", "if(id % 1500 = 0, 'wregno gnowre', 'kato mikato') as text", "if(id % 1500 = 0, 'bb', 'aa') as lang")
+    assert {name for name, _ in langid.calibrate(docs, models).usual} == {"aa", "bb"}
+
+
 def test_query_on_odd_documents(spark, tmp_path):
     cases.docs(spark).write.parquet(str(tmp_path / "documents.parquet"))
     got = queries.op1_language_id(spark, str(tmp_path)).collect()
