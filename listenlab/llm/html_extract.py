@@ -8,7 +8,9 @@ under one parent, are tied by smoothness edges. The minimum cut separates
 content from boilerplate at the lowest total cost.
 
 Defined cases: a null or empty page, or one without any content block, has
-the empty text; markup that is not closed is closed where HTML closes it; a
+the empty text; markup that is not closed is closed where HTML closes it, an
+element without shown text (``RAW``) at its tag unless it is one of
+``TO_THE_END``; a
 ``<`` that opens no tag is text; white space of any kind inside a block,
 ``<br>`` and table cells are one space; pages that repeat are extracted each
 by itself; an empty table gives no rows. Other columns pass through."""
@@ -33,7 +35,9 @@ _ATTRIBUTE = re.compile(r"""([a-zA-Z][-\w:]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 #: Elements whose text is never shown as part of the page.
-RAW = frozenset("script style noscript template iframe object svg math canvas textarea title audio video select datalist".split())
+RAW = frozenset("script style noscript template iframe object svg canvas textarea title audio video select datalist".split())
+#: Those that take the rest of the page if they are never closed; of the others only the tag goes.
+TO_THE_END = frozenset("script style title textarea".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure
 footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search section summary table tbody tfoot
@@ -116,6 +120,7 @@ def blocks(html: str) -> list[Block]:
                 state["linked"] += len(text.strip())
 
     at, skip, lowered = 0, None, None
+    unclosed: set[str] = set()
     while at < len(html):
         m = _TOKEN.search(html, at)
         if m is None:
@@ -128,11 +133,14 @@ def blocks(html: str) -> list[Block]:
             continue
         tag = tag.lower()
         if tag in RAW:
-            if not closing and not (attributes or "").endswith("/"):
+            if not closing and tag not in unclosed and not (attributes or "").endswith("/"):
                 lowered = lowered if lowered is not None else html.lower()
                 end = lowered.find(f"</{tag}", at)
                 if end < 0:
-                    break  # never closed: the rest of the page is its content
+                    if tag in TO_THE_END:
+                        break
+                    unclosed.add(tag)
+                    continue
                 skip = lowered.find(">", end)
                 at = len(html) if skip < 0 else skip + 1
             continue

@@ -35,6 +35,17 @@ def test_odd_pages(html, text):
     assert H.main_text(html) == text
 
 
+@pytest.mark.parametrize("tag", ["select", "object", "canvas", "svg", "iframe", "noscript", "audio", "video", "template", "datalist"])
+def test_only_the_tag_of_an_unclosed_element_goes(tag):
+    page = f"<article><p>One sentence here.</p><{tag} id=x><p>Two sentences here.</p><{tag}><p>Three of them.</p></article>"
+    assert H.main_text(page) == "One sentence here.\nTwo sentences here.\nThree of them."
+    assert "gone" not in H.main_text(f"<article><p>One sentence here.</p><{tag}>gone</{tag}><p>Two sentences here.</p></article>")
+
+
+def test_formulas_are_text():
+    assert H.main_text("<article><p>It is <math><mi>x</mi><mo>=</mo><mn>2</mn></math> in the end.</p></article>") == "It is x=2 in the end."
+
+
 def test_cut_is_minimal():
     random.seed(11)
     for _ in range(150):
