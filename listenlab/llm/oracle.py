@@ -77,4 +77,59 @@ SELECT s.doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, coalesce(l.component_
 FROM sets s LEFT JOIN least l ON l.doc_id = s.doc_id
 """
 
-ORACLE: dict[str, str] = {"op6_ngram_jaccard_join": SIMILAR, "op9_substring_dedup": SUBSTRINGS, "op10_mixing": MIXING}
+#: Trees by level: each level groups runs of three of the one below; every row then walks up its runs.
+MANIFEST = r"""
+WITH RECURSIVE crc AS (
+  SELECT DISTINCT doc_id, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda acc, b: xor(acc >> 8, list_reduce([xor(acc, b) & 255, 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda e, z: CASE WHEN e & 1 = 1 THEN xor(e >> 1, 3988292384::BIGINT) ELSE e >> 1 END))) & 1 = 1 AS even
+  FROM documents WHERE doc_id IS NOT NULL
+), fields AS (
+  SELECT d.doc_id, source, text,
+         coalesce(strlen(CAST(d.doc_id AS VARCHAR)) || ':' || d.doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+         CASE WHEN c.even THEN replace(text, chr(10), '') ELSE text END AS other
+  FROM documents d LEFT JOIN crc c ON c.doc_id = d.doc_id
+), leaves AS (
+  SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(head || coalesce(strlen(other) || ':' || other, '-')) AS changed FROM fields
+), placed AS (
+  SELECT doc_id, leaf, changed, dense_rank() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY source) AS n,
+         row_number() OVER () AS r FROM leaves
+), nodes AS (
+  SELECT 0 AS level, tree, idx, n, leaf AS digest FROM placed
+  UNION ALL
+  SELECT level + 1, tree, idx // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY idx)) FROM nodes WHERE n > 1 GROUP BY level, tree, idx // 3, n
+), tops AS (
+  SELECT 0 AS level, tree AS idx, (SELECT count(*) FROM nodes WHERE n = 1) AS n, digest FROM nodes WHERE n = 1
+  UNION ALL
+  SELECT level + 1, idx // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY idx)) FROM tops WHERE n > 1 GROUP BY level, idx // 3, n
+), runs AS (
+  SELECT tree, level, idx // 3 AS run, list(digest ORDER BY idx) AS held FROM nodes WHERE n > 1 GROUP BY ALL
+  UNION ALL
+  SELECT -1, level, idx // 3, list(digest ORDER BY idx) FROM tops WHERE n > 1 GROUP BY ALL
+), walk AS (
+  SELECT r, tree, 0 AS level, idx, changed AS acc, '' AS sibs FROM placed
+  UNION ALL
+  SELECT w.r, w.tree, w.level + 1, w.idx // 3, sha256(array_to_string(held[1:w.idx % 3], '') || acc || array_to_string(held[w.idx % 3 + 2:], '')),
+         sibs || array_to_string(held[1:w.idx % 3], '') || array_to_string(held[w.idx % 3 + 2:], '')
+  FROM walk w JOIN runs s ON s.tree = w.tree AND s.level = w.level AND s.run = w.idx // 3
+), over AS (
+  SELECT r, 0 AS level, tree AS idx, acc, sibs FROM (SELECT * FROM walk QUALIFY row_number() OVER (PARTITION BY r ORDER BY level DESC) = 1)
+  UNION ALL
+  SELECT w.r, w.level + 1, w.idx // 3, sha256(array_to_string(held[1:w.idx % 3], '') || acc || array_to_string(held[w.idx % 3 + 2:], '')),
+         sibs || array_to_string(held[1:w.idx % 3], '') || array_to_string(held[w.idx % 3 + 2:], '')
+  FROM over w JOIN runs s ON s.tree = -1 AND s.level = w.level AND s.run = w.idx // 3
+), root AS (
+  SELECT digest FROM tops WHERE n = 1
+)
+SELECT p.doc_id, p.leaf, t.digest AS subroot, root.digest AS root, sha256(o.sibs) AS proof_sha256, o.acc AS folded_root,
+       o.acc = root.digest AS verified
+FROM placed p JOIN (SELECT * FROM over QUALIFY row_number() OVER (PARTITION BY r ORDER BY level DESC) = 1) o ON o.r = p.r
+JOIN nodes t ON t.tree = p.tree AND t.n = 1 CROSS JOIN root
+"""
+
+ORACLE: dict[str, str] = {"op6_ngram_jaccard_join": SIMILAR, "op9_substring_dedup": SUBSTRINGS, "op10_mixing": MIXING,
+                          "op13_merkle_manifest": MANIFEST}

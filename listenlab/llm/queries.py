@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listenlab.llm import embedding_join, html_extract, jaccard_join, langid, licenses, merkle, mixing, packing, secrets_scan, substring_dedup
+from listenlab.llm import embedding_join, html_extract, jaccard_join, langid, licenses, merkle, merkle_manifest, mixing, packing, secrets_scan, substring_dedup
 from listenlab.llm.shared import keep
 
 TOKENIZER = "word_bpe_49k.json"
@@ -97,6 +97,22 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round("mix.target", 6).alias("target"), (F.col("mix.copies") * F.col("mix.size")).alias("taken"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def leaf(text):
+        return merkle_manifest.record_digest(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)
+
+    text = F.col("text")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", leaf(text).alias("leaf"),
+        F.when(tampered & F.contains(text, F.lit("\n")), leaf(F.replace(text, F.lit("\n"), F.lit("")))).alias("other"))
+    proven, root = merkle_manifest.manifest(docs, "source", "doc_id", "leaf")
+    folded = merkle_manifest.folded(F.coalesce("other", "leaf"), F.col("path"))
+    return proven.select(
+        "doc_id", "leaf", "subroot", F.lit(root).cast("string").alias("root"), merkle_manifest.proof_digest(F.col("path")).alias("proof_sha256"),
+        folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_license_scans": op2_license_scans,
@@ -108,4 +124,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_mixing": op10_mixing,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }

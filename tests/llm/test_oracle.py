@@ -8,7 +8,7 @@ from oracle_check import compare
 
 
 def test_oracles_belong_to_queries():
-    assert set(ORACLE) <= set(QUERIES) and len(QUERIES) == 10
+    assert set(ORACLE) <= set(QUERIES) and len(QUERIES) == 13
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
