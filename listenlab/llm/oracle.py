@@ -77,6 +77,24 @@ SELECT s.doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, coalesce(l.component_
 FROM sets s LEFT JOIN least l ON l.doc_id = s.doc_id
 """
 
+#: Base32 takes five bits at a time from two hex digits of the digest.
+WARC = r"""
+WITH held AS (
+  SELECT page_id, encode(coalesce(html, '')) AS body FROM pages
+), hashed AS (
+  SELECT page_id, CAST(octet_length(body) AS BIGINT) AS payload_bytes, sha1(body) AS hex,
+         row_number() OVER (PARTITION BY body ORDER BY page_id NULLS LAST) AS place,
+         first_value(page_id) OVER (PARTITION BY body ORDER BY page_id NULLS LAST) AS first_id FROM held
+)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+         ((strpos('0123456789abcdef', substr(hex, 5 * i // 4 + 1, 1)) - 1) * 16 + strpos('0123456789abcdef', substr(hex, 5 * i // 4 + 2, 1)) - 1)
+         // CAST(pow(2, 3 - 5 * i % 4) AS BIGINT) % 32 AS BIGINT), 1)), '') AS payload_digest,
+       CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN place > 1 THEN first_id END AS refers_to
+FROM hashed
+"""
+
 #: Trees by level: each level groups runs of three of the one below; every row then walks up its runs.
 MANIFEST = r"""
 WITH RECURSIVE crc AS (
@@ -132,4 +150,4 @@ JOIN nodes t ON t.tree = p.tree AND t.n = 1 CROSS JOIN root
 """
 
 ORACLE: dict[str, str] = {"op6_ngram_jaccard_join": SIMILAR, "op9_substring_dedup": SUBSTRINGS, "op10_mixing": MIXING,
-                          "op13_merkle_manifest": MANIFEST}
+                          "op12_warc": WARC, "op13_merkle_manifest": MANIFEST}

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listenlab.llm import embedding_join, html_extract, jaccard_join, langid, licenses, merkle, merkle_manifest, mixing, packing, secrets_scan, substring_dedup
+from listenlab.llm import embedding_join, html_extract, jaccard_join, langid, licenses, merkle, merkle_manifest, mixing, packing, secrets_scan, substring_dedup, warc
 from listenlab.llm.shared import keep
 
 TOKENIZER = "word_bpe_49k.json"
@@ -97,6 +97,17 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round("mix.target", 6).alias("target"), (F.col("mix.copies") * F.col("mix.size")).alias("taken"))
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.new_folder(spark)
+    warc.write(table(spark, sf_dir, "pages"), folder, min_bytes=0)
+    read = warc.read_files(spark, folder, with_payload=False)
+    sound = F.when(F.col("problem").isNotNull(), F.raise_error(F.concat_ws(" ", "path", "at", "problem"))).otherwise(F.col("type"))
+    pages = read.select("record_id", "payload_bytes", "payload_digest", sound.alias("record_type"), "refers_to")
+    return pages.where("record_type in ('response', 'revisit')").select(
+        warc.page_id(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        warc.page_id(F.col("refers_to")).alias("refers_to"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     def leaf(text):
         return merkle_manifest.record_digest(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)
@@ -124,5 +135,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_mixing": op10_mixing,
+    "op12_warc": op12_warc,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
