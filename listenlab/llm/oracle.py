@@ -77,6 +77,27 @@ SELECT s.doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, coalesce(l.component_
 FROM sets s LEFT JOIN least l ON l.doc_id = s.doc_id
 """
 
+#: All anchors against all rows.
+NEGATIVES = r"""
+WITH held AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM held a JOIN held b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same
+  AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)
+QUALIFY row_number() OVER w <= 10
+"""
+
 #: Base32 takes five bits at a time from two hex digits of the digest.
 WARC = r"""
 WITH held AS (
@@ -150,4 +171,4 @@ JOIN nodes t ON t.tree = p.tree AND t.n = 1 CROSS JOIN root
 """
 
 ORACLE: dict[str, str] = {"op6_ngram_jaccard_join": SIMILAR, "op9_substring_dedup": SUBSTRINGS, "op10_mixing": MIXING,
-                          "op12_warc": WARC, "op13_merkle_manifest": MANIFEST}
+                          "op11_hard_negatives": NEGATIVES, "op12_warc": WARC, "op13_merkle_manifest": MANIFEST}

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listenlab.llm import embedding_join, html_extract, jaccard_join, langid, licenses, merkle, merkle_manifest, mixing, packing, secrets_scan, substring_dedup, warc
+from listenlab.llm import embedding_join, gnat, html_extract, jaccard_join, langid, licenses, merkle, merkle_manifest, mixing, packing, secrets_scan, substring_dedup, warc
 from listenlab.llm.shared import keep
 
 TOKENIZER = "word_bpe_49k.json"
@@ -97,6 +97,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round("mix.target", 6).alias("target"), (F.col("mix.copies") * F.col("mix.size")).alias("taken"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    vectors = table(spark, sf_dir, "embeddings").select(
+        "vec_id", gnat.quantised(F.col("embedding")).alias("vector"), F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"))
+    return gnat.hard_negatives(vectors, "vec_id", "vector", "label", vec_id % 100 == 0)
+
+
 def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = warc.new_folder(spark)
     warc.write(table(spark, sf_dir, "pages"), folder, min_bytes=0)
@@ -135,6 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_mixing": op10_mixing,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_warc": op12_warc,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
