@@ -8,6 +8,8 @@ marts. Dashboard-only filters are parameters with the documented defaults.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from listenlab.functions.labels import (
 from listenlab.functions.measures import (
     cnt, count_if, frame_round, pct, ratio, sql_round, sum_if,
 )
-from listenlab.functions.quantiles import median, quantiles
+from listenlab.functions.quantiles import column_quantiles, median
 from listenlab.settings import DEFAULT, Settings
 
 
@@ -96,7 +98,8 @@ def user_summary(user: DataFrame) -> DataFrame:
         cnt().alias("users"),
         F.avg("active_days").alias("avg_active_days"),
         (F.avg("recommendation_share") * 100).alias("avg_user_recommendation_pct"),
-    ).select("*", *[median(user, c).alias(f"median_{c}") for c in ("active_days", "listens", "sessions")]))
+    ).withColumn("_q", column_quantiles(user, {f"median_{c}": (c, 0.5) for c in ("active_days", "listens", "sessions")}))
+        .select("users", "avg_active_days", "avg_user_recommendation_pct", "_q.*"))
 
 
 def overall_retention(retention: DataFrame, lifetime_days=(1, 7, 30)) -> DataFrame:
@@ -182,28 +185,31 @@ def track_source_quality(track: DataFrame) -> DataFrame:
     ))
 
 
-def quality_thresholds(reliable: DataFrame) -> Column:
+# The quartiles that bound the quality segments.
+QUALITY_SHARES = {"listen_plus_q25": ("listen_plus_rate", 0.25), "listen_plus_q75": ("listen_plus_rate", 0.75),
+                  "dislikes_per_1000_q75": ("dislikes_per_1000_listens", 0.75)}
+
+
+def quality_thresholds(reliable: DataFrame, brackets: Mapping[str, list | None] | None = None) -> Column:
     """Exact, linearly interpolated quartiles of the reliable tracks as one
     struct (q25, q75 of Listen+ rate; q75 of dislikes per 1000)."""
-    plus = quantiles(reliable, "listen_plus_rate", q25=0.25, q75=0.75)
-    dislikes = quantiles(reliable, "dislikes_per_1000_listens", q75=0.75)
-    return F.struct(plus["q25"].alias("listen_plus_q25"), plus["q75"].alias("listen_plus_q75"),
-                    dislikes["q75"].alias("dislikes_per_1000_q75"))
+    return column_quantiles(reliable, QUALITY_SHARES, brackets)
 
 
-def segmented_tracks(track: DataFrame, attention_wins: bool) -> DataFrame:
+def segmented_tracks(track: DataFrame, attention_wins: bool, brackets: Mapping[str, list | None] | None = None) -> DataFrame:
     reliable = track.where(F.col("is_reliable_sample"))
-    limits = quality_thresholds(reliable)
+    limits = quality_thresholds(reliable, brackets)
     return reliable.withColumn("quality_segment", quality_segment(
         F.col("listen_plus_rate"), F.col("dislikes_per_1000_listens"),
         limits["listen_plus_q25"], limits["listen_plus_q75"], limits["dislikes_per_1000_q75"],
         attention_wins=attention_wins))
 
 
-def quality_segments(track: DataFrame) -> DataFrame:
+def quality_segments(track: DataFrame, brackets: Mapping[str, list | None] | None = None) -> DataFrame:
     """Three quality segments of reliable tracks (the report's CASE order:
-    "high" is tested first) with their sizes and averages."""
-    out = segmented_tracks(track, attention_wins=False).groupBy("quality_segment").agg(
+    "high" is tested first) with their sizes and averages. With ``brackets``
+    from the mart's write the mart is read twice: for ranks, and for this."""
+    out = segmented_tracks(track, False, brackets).groupBy("quality_segment").agg(
         cnt().alias("tracks"),
         F.sum("listens").alias("listens"),
         (F.avg("listen_plus_rate") * 100).alias("avg_listen_plus_pct"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import interactions, listen, react
 from listenlab.functions.labels import quality_segment
 from listenlab.functions.measures import frame_round, sql_round
-from listenlab.functions.quantiles import quantiles
+from listenlab.functions.quantiles import bracket_measures, column_quantiles, quantiles
 from listenlab.operators import exports, funnel, product, reports, retention, stage as st, track, user
 from listenlab.operators.base import user_day_base
 from listenlab.settings import DEFAULT
@@ -170,6 +170,37 @@ def test_quantiles_are_exact(spark, n):
     assert spark.range(1).select(quantiles(df.where("v > 9"), "v", a=0.5).alias("q")).first().q.a is None
 
 
+def test_quantiles_of_many_columns_with_and_without_brackets(spark):
+    n, shares = 60_000, {"a25": ("a", 0.25), "b99": ("b", 0.99), "c50": ("c", 0.5), "a0": ("a", 0.0), "d75": ("d", 0.75), "e10": ("e", 0.1)}
+    rng = np.random.default_rng(3)
+    values = {"a": rng.random(n), "b": rng.zipf(1.3, n).astype(float), "c": np.where(rng.random(n) < 0.6, 7.0, rng.random(n)),
+              "d": np.full(n, np.nan), "e": rng.integers(0, 3, n).astype(float)}
+    values["d"][:40] = np.arange(40)
+    rows = [tuple(None if x != x else float(x) for x in row) for row in zip(*values.values())]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double").repartition(5).cache()
+    want = [float(np.nanquantile(values[c], s)) for c, s in shares.values()]
+    seen = df.agg(*[m.alias(k) for k, m in bracket_measures(shares).items()]).first().asDict()
+    for brackets in (None, seen, {}):
+        one = spark.range(1).select(column_quantiles(df, shares, brackets).alias("q")).first().q
+        assert list(one) == pytest.approx(want, abs=1e-12)
+    with pytest.raises(Exception, match="outside its brackets"):  # of another table
+        spark.range(1).select(column_quantiles(df, shares, seen | {"a25": [0.9, 0.95]}).alias("q")).first()
+
+
+def test_segments_read_the_written_mart_twice(spark, tmp_path):
+    rows = [listen(u, u % 7, u * 10) for u in range(40)]
+    track.track_mart(_stage(spark, rows), DEFAULT.with_(track_min_listens=1)).write.parquet(str(tmp_path / "t"))
+    t = spark.read.parquet(str(tmp_path / "t"))
+    seen = t.agg(*[m.alias(k) for k, m in bracket_measures(reports.QUALITY_SHARES, F.col("is_reliable_sample")).items()]).first().asDict()
+    limits = exports.track_thresholds(t, seen)
+    for df, alone in ((reports.quality_segments(t, seen), reports.quality_segments(t)), (exports.export_track_quality(t, limits), exports.export_track_quality(t))):
+        spark.conf.set("spark.sql.adaptive.enabled", "false")  # one plan is printed, not the first and the last
+        plan = df.select("*")._jdf.queryExecution().executedPlan().toString()
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        assert plan.count("FileScan parquet") == 2, plan
+        assert sorted(map(str, df.collect())) == sorted(map(str, alone.collect()))
+
+
 def test_reports_hold_no_percentile_of_all_values(spark):
     rows = [listen(u, u % 7, u * 10) for u in range(40)]
     s = _stage(spark, rows)
