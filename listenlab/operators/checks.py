@@ -90,7 +90,10 @@ def mart_checks(stage: DataFrame, product: DataFrame, user: DataFrame, user_day:
 
 def raise_on_failure(checks: DataFrame, what: str = "mart checks") -> dict[str, bool]:
     """Collect the (small, fixed-size) check table; raise if any is false."""
-    result = {row["name"]: bool(row["ok"]) for row in checks.collect()}
+    return raise_unless_all({row["name"]: bool(row["ok"]) for row in checks.collect()}, what)
+
+
+def raise_unless_all(result: dict[str, bool], what: str = "mart checks") -> dict[str, bool]:
     if not all(result.values()):
         raise RuntimeError(f"{what} failed: {result}")
     return result
@@ -137,9 +140,11 @@ def retention_check(retention: DataFrame) -> DataFrame:
     )
 
 
-def track_columns_contract(track: DataFrame,
-                           required=("is_reliable_sample", "recommendation_listen_plus",
-                                     "organic_listen_plus")) -> list[str]:
+# Columns that the export needs.
+TRACK_REQUIRED = ("is_reliable_sample", "recommendation_listen_plus", "organic_listen_plus")
+
+
+def track_columns_contract(track: DataFrame, required=TRACK_REQUIRED) -> list[str]:
     """Required columns missing from the track mart (metadata, no job)."""
     return sorted(set(required) - set(track.columns))
 
@@ -155,6 +160,11 @@ def _outside(c: str) -> Column:
     return ~F.coalesce(F.col(c).between(0, 1), F.lit(False))
 
 
+def is_broken(text: Column) -> Column:
+    """Whether a text holds a mark of a broken encoding; NULL does not."""
+    return F.coalesce(F.contains(text, F.lit(BAD_TEXT[0])) | F.contains(text, F.lit(BAD_TEXT[1])), F.lit(False))
+
+
 def text_is_clean(frames: list[DataFrame]) -> Column:
     """No string value of the extracts contains '???' or U+FFFD."""
     bad = None

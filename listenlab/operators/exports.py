@@ -7,6 +7,8 @@ driver code.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,19 +31,20 @@ def export_product_day(product: DataFrame) -> DataFrame:
     ).orderBy("day_idx")
 
 
-def track_thresholds(track: DataFrame) -> DataFrame:
+def track_thresholds(track: DataFrame, brackets: Mapping[str, list | None] | None = None) -> DataFrame:
     """The three quartile thresholds of the reliable tracks (one row)."""
-    limits = quality_thresholds(track.where(F.col("is_reliable_sample")))
+    limits = quality_thresholds(track.where(F.col("is_reliable_sample")), brackets)
     one = track.sparkSession.range(1).select(limits.alias("limits"))
     return one.select("limits.*")
 
 
-def export_track_quality(track: DataFrame) -> DataFrame:
+def export_track_quality(track: DataFrame, thresholds: DataFrame | None = None) -> DataFrame:
     """Reliable tracks with length and share buckets, quality segment (the
     attention rule wins), the Listen+ gap in points and the activity span.
-    The Parquet filter on ``is_reliable_sample`` is pushed to the scan."""
+    The Parquet filter on ``is_reliable_sample`` is pushed to the scan.
+    ``thresholds`` are those of ``track_thresholds``, if they are there already."""
     reliable = track.where(F.col("is_reliable_sample"))
-    limits = quality_thresholds(reliable)
+    limits = quality_thresholds(reliable) if thresholds is None else thresholds.select(F.struct("*")).scalar()
     seconds = F.col("track_length_seconds")
     share = F.col("recommendation_share")
     segment = quality_segment(F.col("listen_plus_rate"), F.col("dislikes_per_1000_listens"),

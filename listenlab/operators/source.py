@@ -40,6 +40,12 @@ def _over_pairs(source: DataFrame, items: str, *measures: Column) -> DataFrame:
 
 def source_profile(source: DataFrame) -> DataFrame:
     """Eleven measures of the raw source in one pass (one row)."""
+    return source_identity(source).drop("content")
+
+
+def source_identity(source: DataFrame) -> DataFrame:
+    """The profile and, from the same pass, ``content``: a sum of row hashes,
+    equal for the same rows in any order and any files (one row)."""
     is_listen = F.col("event_type") == "listen"
     return _over_pairs(
         source, "items",
@@ -54,6 +60,7 @@ def source_profile(source: DataFrame) -> DataFrame:
         _bool_sum(~is_listen & (F.col("played_ratio_pct").isNotNull()
                                 | F.col("track_length_seconds").isNotNull()))
         .cast("bigint").alias("non_listen_with_play_fields"),
+        F.sum(F.xxhash64(*ALL_COLUMNS).cast("decimal(28,0)")).alias("content"),
     )
 
 
@@ -66,8 +73,9 @@ def source_gate(source: DataFrame) -> DataFrame:
 
 
 def check_gate(source: DataFrame) -> dict:
-    """Run the gate; raise with the profile when it fails."""
-    row = source_profile(source).first().asDict()
+    """Run the gate; raise with the profile when it fails. Returns the
+    profile with the source's ``content``."""
+    row = source_identity(source).withColumn("content", F.col("content").cast("string")).first().asDict()
     if row["required_nulls"] != 0 or row["invalid_event_type"] != 0:  # None on an empty source
         raise ValueError(f"source gate failed: {row}")
     return row

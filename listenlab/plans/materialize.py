@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from listenlab.session import checkpoint_dir
 
@@ -38,3 +38,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def materialize_observed(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, dict]:
+    """``materialize`` and the measures that the write observed."""
+    obs = Observation()
+    return materialize(df.observe(obs, *[m.alias(k) for k, m in measures.items()]), name), dict(obs.get)

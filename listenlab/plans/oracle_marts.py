@@ -59,6 +59,12 @@ SELECT uid, item_id, timestamp, day_idx, is_organic, event_type, played_ratio_pc
        track_length_seconds, is_listen, is_listen_plus, is_replay, is_recommendation_listen, play_seconds
 FROM stage""", ("played_ratio_pct", "track_length_seconds", "play_seconds"))
 
+STAGE_ROWS = rounded(_PRE + """
+SELECT * REPLACE (row_number() OVER tie = 1 AND bool_or(is_session_start) OVER (PARTITION BY uid, timestamp, item_id, event_type) AS is_session_start)
+FROM stage WINDOW tie AS (PARTITION BY uid, timestamp, item_id, event_type
+  ORDER BY is_organic NULLS FIRST, played_ratio_pct NULLS FIRST, track_length_seconds NULLS FIRST)""",
+    ("played_ratio_pct", "track_length_seconds", "play_seconds"))
+
 SESSION_STARTS = _PRE + """
 SELECT uid, day_idx, count(*) AS events, count(*) FILTER (WHERE is_session_start) AS sessions
 FROM stage GROUP BY uid, day_idx"""
@@ -81,7 +87,22 @@ DAY_REACTIONS = q("SELECT day_idx, listener_likers, listener_dislikers FROM prod
 FIRST_DAY_DOUBLES = ("first_day_recommendation_share", "first_day_listen_plus_rate")
 SIZE_DOUBLES = ("avg_first_day_listens", "avg_first_day_sessions", "avg_first_day_listen_plus_rate")
 
+_MARTS = {"mart_product_day": "product", "mart_recommendation_funnel": "funnel", "mart_user": "users", "mart_user_day": "user_day",
+          "mart_retention_cohort": "retention", "mart_track": "track"}
+
+MART_FILE_ORDER = q(" UNION ALL ".join(
+    f"SELECT '{mart}' AS mart, count(*) AS rows, true AS files_ascend, true AS ranges_ascend FROM {table}" for mart, table in _MARTS.items()))
+
+_KIND = "CASE WHEN column_type IN ('BIGINT', 'HUGEINT', 'INTEGER') THEN 'integer' WHEN column_type = 'VARCHAR' THEN 'string' ELSE lower(column_type) END"
+
+MART_COLUMNS = " UNION ALL ".join(
+    f"SELECT '{mart}' AS mart, column_name, {_KIND} AS kind, '{mart}' = 'mart_track' AND column_name IN ('is_reliable_sample', "
+    f"'recommendation_listen_plus', 'organic_listen_plus') AS required FROM (DESCRIBE {q(f'SELECT * FROM {table}')})" for mart, table in _MARTS.items())
+
 ORACLE = {
+    "stage_rows": STAGE_ROWS,
+    "mart_file_order": MART_FILE_ORDER,
+    "mart_columns": MART_COLUMNS,
     "source_profile": SOURCE_PROFILE,
     "source_gate": SOURCE_GATE,
     "source_quality": SOURCE_QUALITY,

@@ -20,8 +20,8 @@ BOM = "\ufeff"
 def write_parquet(df: DataFrame, path: str, sort_keys: list[str] | None = None,
                   total_order: bool = False) -> None:
     """ZSTD Parquet, rows sorted by ``sort_keys``: across files (a range
-    shuffle; for marts whose size is bounded by days or steps) or within each
-    file (no shuffle; for user- and track-grain marts)."""
+    shuffle) or within each file (no shuffle). Marts come in order already
+    (``operators.metrics.in_order``)."""
     sorted_frame(df, sort_keys, total_order).write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
@@ -60,7 +60,11 @@ def csv_frame(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    out = csv_frame(df)
+    write_csv_text(csv_frame(df), path, single_file)
+
+
+def write_csv_text(out: DataFrame, path: str, single_file: bool = False) -> None:
+    """Write what ``csv_frame`` has rendered."""
     if single_file:
         out = out.coalesce(1)
     out.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
