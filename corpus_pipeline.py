@@ -21,6 +21,8 @@ from listenlab.llm import jaccard_join, langid, mixing, packing, secrets_scan
 from listenlab.llm.shared import keep
 
 TOKENIZER = "word_bpe_49k.json"
+#: Words of a shingle, and the similarity from which documents are near duplicates.
+GRAM, SIMILARITY = 5, (4, 5)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +35,7 @@ def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     # the documents are a written table, whose rows are numbered alike at every reading
     numbered = docs.withColumn("row_number", F.monotonically_increasing_id())
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("row_number").alias("row"))
-    found = jaccard_join.similar_components(numbered.select(place.alias("doc_id"), "text"))
+    found = jaccard_join.similar_components(numbered.select(place.alias("doc_id"), "text"), gram=GRAM, similarity=SIMILARITY)
     others = keep(found.where("component_id.row <> doc_id.row").select(F.col("doc_id.row").alias("row_number")), "similar")
     return numbered.join(others, "row_number", "left_anti").select(*docs.columns)
 
