@@ -38,6 +38,7 @@ _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 RAW = frozenset("script style noscript template iframe object svg canvas textarea title audio video select datalist".split())
 #: Those that take the rest of the page if they are never closed; of the others only the tag goes.
 TO_THE_END = frozenset("script style title textarea".split())
+_RAW_END = {tag: re.compile(f"</{tag}", re.I | re.A) for tag in RAW}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure
 footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search section summary table tbody tfoot
@@ -55,9 +56,13 @@ consent contentinfo cookie cookies copyright dialog disclaimer discussion disqus
 legal login masthead menu menubar modal nav navbar navigation newsletter notice notices notification overlay pager pagination
 paywall popup privacy promo promoted promotion recommended related replies reply respond share sharing sidebar signup skip social
 sponsor sponsored subscribe subscription tags toolbar topbar widget widgets complementary search""".split())
+#: Run together, as names of the comments' list or form.
+BOILERPLATE_NAMES |= frozenset("commentlist commentform commentarea commentbox commentsection commentthread".split())
 CONTENT_NAMES = frozenset("article body content entry main maincontent post story text".split())
 NAME_WEIGHT, CONTENT_NAME_WEIGHT, HIDDEN_WEIGHT = -9.0, 1.5, -30.0
 BIAS, LENGTH_WEIGHT, LINK_WEIGHT, SENTENCE_WEIGHT, HEADING_WEIGHT = -2.6, 0.55, -5.0, 1.0, 1.0
+#: For all blocks of a page where no element is named as content.
+UNNAMED_WEIGHT = 1.5
 #: Smoothness: following blocks, and following blocks of one parent.
 ADJACENT, SIBLING = 0.5, 0.7
 
@@ -86,7 +91,11 @@ def _context(tag: str, attributes: str) -> float:
         elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             weight += HIDDEN_WEIGHT
     if tag not in ("html", "body"):
-        if names & BOILERPLATE_NAMES:
+        against = names & BOILERPLATE_NAMES
+        # a page's name says nothing of its article, nor does the head of an entry stand outside it
+        if tag in CONTENT_TAGS or against == {"header"} and names & CONTENT_NAMES - {"main", "content", "body"}:
+            against = set()
+        if against:
             weight += NAME_WEIGHT
         elif names & CONTENT_NAMES:
             weight += CONTENT_NAME_WEIGHT
@@ -98,6 +107,8 @@ def blocks(html: str) -> list[Block]:
     out: list[Block] = []
     # open elements: tag, summed context, number; content weights count once
     stack: list[tuple[str, float, float, int]] = [("", 0.0, 0.0, 0)]
+    places: dict[str, list[int]] = {}  # in the stack, of each open tag
+    open_blocks = [0]
     parts: list[str] = []
     state = {"linked": 0, "links": 0, "number": 0}
 
@@ -106,8 +117,8 @@ def blocks(html: str) -> list[Block]:
             text = " ".join(unescape("".join(parts)).split())
             if text:
                 tag, low, high, _ = stack[-1]
-                holder = next((s for s in reversed(stack) if s[0] in BLOCK or not s[0]), stack[0])
-                at = stack.index(holder)
+                at = open_blocks[-1]
+                holder = stack[at]
                 out.append(Block(text, state["linked"], holder[0] in ("h1", "h2", "h3", "h4", "h5", "h6"), low + high,
                                  stack[max(at - 1, 0)][3]))
             parts.clear()
@@ -119,7 +130,15 @@ def blocks(html: str) -> list[Block]:
             if state["links"]:
                 state["linked"] += len(text.strip())
 
-    at, skip, lowered = 0, None, None
+    def close(depth: int) -> None:
+        while len(stack) > depth:
+            tag = stack.pop()[0]
+            places[tag].pop()
+            state["links"] -= tag == "a"
+            if tag in BLOCK:
+                open_blocks.pop()
+
+    at = 0
     unclosed: set[str] = set()
     while at < len(html):
         m = _TOKEN.search(html, at)
@@ -134,14 +153,13 @@ def blocks(html: str) -> list[Block]:
         tag = tag.lower()
         if tag in RAW:
             if not closing and tag not in unclosed and not (attributes or "").endswith("/"):
-                lowered = lowered if lowered is not None else html.lower()
-                end = lowered.find(f"</{tag}", at)
-                if end < 0:
+                end = _RAW_END[tag].search(html, at)
+                if end is None:
                     if tag in TO_THE_END:
                         break
                     unclosed.add(tag)
                     continue
-                skip = lowered.find(">", end)
+                skip = html.find(">", end.start())
                 at = len(html) if skip < 0 else skip + 1
             continue
         if tag in ("br", "td", "th", "wbr"):
@@ -150,37 +168,35 @@ def blocks(html: str) -> list[Block]:
             if tag != "td" and tag != "th":
                 continue
         if closing:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
-            if depth:
-                if any(s[0] in BLOCK for s in stack[depth:]):
+            if places.get(tag):
+                depth = places[tag][-1]
+                if open_blocks[-1] >= depth:
                     flush()
-                state["links"] -= sum(s[0] == "a" for s in stack[depth:])
-                del stack[depth:]
+                close(depth)
             continue
         if tag in BLOCK:
             flush()
-            closes = CLOSES.get(tag, ())
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == "p" or stack[i][0] in closes:
-                    state["links"] -= sum(s[0] == "a" for s in stack[i:])
-                    del stack[i:]
-                    break
-                if stack[i][0] in BLOCK:
-                    break
+            # nothing is closed beyond the innermost block
+            nearest = max((places[t][-1] for t in ("p", *CLOSES.get(tag, ())) if places.get(t)), default=0)
+            if nearest and nearest >= open_blocks[-1]:
+                close(nearest)
         if tag in VOID or (attributes or "").endswith("/") and tag not in BLOCK:
             continue
         state["number"] += 1
         weight = _context(tag, attributes or "")
         _, low, high, _ = stack[-1]
         stack.append((tag, min(low, weight) if weight < 0 else low, max(high, weight) if weight > 0 else high, state["number"]))
+        places.setdefault(tag, []).append(len(stack) - 1)
+        if tag in BLOCK:
+            open_blocks.append(len(stack) - 1)
         state["links"] += tag == "a"
     flush()
     return out
 
 
-def log_odds(block: Block) -> float:
+def log_odds(block: Block, named: bool = True) -> float:
     n = len(block.text)
-    z = BIAS + LENGTH_WEIGHT * math.log1p(n) + block.context + LINK_WEIGHT * min(1.0, block.linked / n)
+    z = (BIAS if named else BIAS + UNNAMED_WEIGHT) + LENGTH_WEIGHT * math.log1p(n) + block.context + LINK_WEIGHT * min(1.0, block.linked / n)
     if block.text[-1] in ".!?…\"”»:;)":
         z += SENTENCE_WEIGHT
     return z + HEADING_WEIGHT if block.heading else z
@@ -258,7 +274,8 @@ def smoothness(found: list[Block]) -> dict[tuple[int, int], float]:
 
 def main_text(html: str | None) -> str:
     found = blocks(html or "")
-    labels = minimum_cut([log_odds(b) for b in found], smoothness(found))
+    named = any(b.context > 0 for b in found)
+    labels = minimum_cut([log_odds(b, named) for b in found], smoothness(found))
     return "\n".join(b.text for b, keep in zip(found, labels) if keep)
 
 

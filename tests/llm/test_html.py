@@ -42,6 +42,43 @@ def test_only_the_tag_of_an_unclosed_element_goes(tag):
     assert "gone" not in H.main_text(f"<article><p>One sentence here.</p><{tag}>gone</{tag}><p>Two sentences here.</p></article>")
 
 
+def test_letters_that_grow_in_lower_case_shift_nothing():
+    page = "<article><p>First sentence here.</p>" + "İ" * 40 + "<SCRIPT>var x = '<p>no</p>';</ScRiPt ><p>Second sentence here.</p></article>"
+    assert H.main_text(page).split("\n") == ["First sentence here.", "İ" * 40, "Second sentence here."]
+
+
+def test_deep_pages_take_time_in_proportion():
+    import time
+
+    def seconds(page):
+        start = time.perf_counter()
+        text = H.main_text(page)
+        return time.perf_counter() - start, text
+
+    for one in ("<div>", "<span>", "<div><span>", "<span><p>x</p>"):
+        page = lambda n: "<article><p>One sentence here.</p>" + one * n + "<p>The end of it all.</p>"  # noqa: E731,B023
+        small, _ = seconds(page(10_000))
+        large, text = seconds(page(100_000))
+        assert text.startswith("One sentence here.") and text.endswith("The end of it all.") and large < 40 * small + 1
+
+
+@pytest.mark.parametrize("page, text", [
+    ('<main id="main-legal"><p>The terms of this service are plain.</p></main>', "The terms of this service are plain."),
+    ('<div class="entry"><div class="entry-header"><h1>The headline of it</h1></div><p>A sentence of the story follows here.</p></div>',
+     "The headline of it\nA sentence of the story follows here."),
+    ('<div class="post"><p>A sentence of the story follows here, long enough.</p><ol class="commentlist"><li>I do not agree with that at all.</li></ol></div>',
+     "A sentence of the story follows here, long enough."),
+    ('<div class="page"><div class="page-header"><p>Welcome to our site, dear reader.</p></div><p>A sentence of the story follows here.</p><p>It is followed by '
+     'another one, which goes on for a while.</p></div>',
+     "A sentence of the story follows here.\nIt is followed by another one, which goes on for a while."),
+    ('<body><div id="wrap"><div id="nav"><ul><li><a href=x>Home</a><li><a href=y>News</a></ul></div><h1>A title of a page</h1><p>It has no article '
+     'element, but it has sentences of some length.</p><p>And another one of them, too.</p><div id="footer">All rights reserved.</div></div></body>',
+     "A title of a page\nIt has no article element, but it has sentences of some length.\nAnd another one of them, too."),
+])
+def test_pages_without_an_article_element(page, text):
+    assert H.main_text(page) == text
+
+
 def test_formulas_are_text():
     assert H.main_text("<article><p>It is <math><mi>x</mi><mo>=</mo><mn>2</mn></math> in the end.</p></article>") == "It is x=2 in the end."
 
