@@ -61,30 +61,36 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 4
 
 
-def _letter_table() -> np.ndarray:
-    """Code point -> 16-bit class of its lower-case letter, 0 for any other
-    character. Code points beyond 16 bits are folded onto 16."""
-    table = np.zeros(0x110000, np.uint16)
+def _letter_table() -> tuple[np.ndarray, np.ndarray]:
+    """Code point -> 16-bit class of its lower-case letter or mark, 0 for any
+    other character, and whether it is a letter. Code points beyond 16 bits
+    are folded onto 16."""
+    table, letter = np.zeros(0x110000, np.uint16), np.zeros(0x110000, bool)
     for c in range(0x110000):
-        if unicodedata.category(chr(c))[0] in "LM":
+        category = unicodedata.category(chr(c))[0]
+        if category in "LM":
+            letter[c] = category == "L"
             low = chr(c).lower()
             c2 = ord(low) if len(low) == 1 else c
             table[c] = ((c2 * 40503 >> 5) & 0xFFFF or 1) if c2 > 0xFFFF else c2
-    return table
+    return table, letter
 
 
-_TABLE: list[np.ndarray] = []
+_TABLE: list[tuple[np.ndarray, np.ndarray]] = []
 
 
 def letters(buf: np.ndarray, offs: np.ndarray):
-    """(classes, offsets): per text its letters with single gaps between words."""
+    """(classes, offsets): per text its letters, and the marks on them, with
+    single gaps between words. A text of marks alone has none."""
     if not _TABLE:
         _TABLE.append(_letter_table())
     codes = np.frombuffer(buf.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
     lead = (buf & 0xC0) != 0x80  # one per code point
     at = np.concatenate([[0], np.cumsum(lead)])[offs]
-    kind = _TABLE[0][codes]
-    kept = kind != 0
+    table, letter = _TABLE[0]
+    kind = table[codes]
+    before = np.concatenate([[0], np.cumsum(letter[codes])])[at]
+    kept = (kind != 0) & np.repeat(before[1:] > before[:-1], np.diff(at))
     # the first gap after a letter stays
     after = np.zeros(len(kind), bool)
     after[1:] = kept[:-1]
