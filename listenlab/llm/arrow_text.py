@@ -6,6 +6,7 @@ inside a multi-byte UTF-8 character, so words can be cut on bytes."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -99,14 +100,34 @@ def word_bounds(buf: np.ndarray, offs: np.ndarray, separators: np.ndarray = SPAC
     return starts, np.flatnonzero(end) + 1, np.searchsorted(starts, offs)
 
 
-def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte spans, equal for equal bytes."""
-    pow_, inv = _tables(len(buf) + 1)
-    sums = np.empty(len(buf) + 1, U64)
-    sums[0] = 0
-    np.cumsum((buf.astype(U64) + U64(1)) * pow_[:len(buf)], out=sums[1:])
-    h = (sums[ends] - sums[starts]) * inv[starts]
-    return mix64(h + (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93))
+#: Bytes of a span that are hashed in blocks of eight; the digest of a longer one is cryptographic.
+_IN_BLOCKS = 32
+
+
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of byte spans, equal for equal bytes. Every block of
+    eight bytes is mixed by itself, so spans of one length up to eight bytes
+    never share a hash; another ``seed`` gives hashes that are independent
+    for longer ones."""
+    size = ends - starts
+    salt = U64((seed * 0x9E3779B97F4A7C55 + 0x632BE59BD9B4E019) & (2**64 - 1))
+    h = mix64(size.astype(U64) * U64(0xD6E8FEB86659FD93) + salt)
+    padded = np.concatenate([buf, np.zeros(8, np.uint8)])
+    blocks = np.lib.stride_tricks.as_strided(padded[:8].view("<u8"), (len(buf) + 1,), (1,))
+    for at in range(0, _IN_BLOCKS, 8):
+        rest = size - at
+        open_ = np.flatnonzero(rest > 0) if at else slice(None)
+        if at and not len(open_):
+            break
+        rest = np.minimum(rest[open_], 8)
+        block = blocks[starts[open_] + at] & (U64(2**64 - 1) >> (U64(64) - U64(8) * np.maximum(rest, 1).astype(U64)))
+        if not at:
+            block[rest <= 0] = 0
+        h[open_] = mix64(h[open_] * U64(0xA24BAED4963EE407) ^ block)
+    for i in np.flatnonzero(size > _IN_BLOCKS).tolist():
+        digest = hashlib.blake2b(buf[starts[i]:ends[i]].tobytes(), digest_size=8, salt=seed.to_bytes(8, "little")).digest()
+        h[i] = int.from_bytes(digest, "little")
+    return h
 
 
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
@@ -115,7 +136,7 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
         return np.empty(0, U64)
     out = np.zeros(len(words) - n + 1, U64)
     for k in range(n):
-        out = out * U64(0xC2B2AE3D27D4EB4F) + words[k:len(words) - n + 1 + k]
+        out = (out ^ (out >> U64(29))) * U64(0xC2B2AE3D27D4EB4F) + words[k:len(words) - n + 1 + k]
     return mix64(out)
 
 

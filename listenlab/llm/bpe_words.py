@@ -79,10 +79,12 @@ class WordIds:
         self.recent: dict[int, int] = {}
         self.at = np.zeros(1 << 16, np.int64)
         self.size = np.zeros(1 << 16, np.int32)
+        self.check = np.zeros(1 << 16, np.uint64)  # a second hash: ids are those of the same word
         self.pool = np.zeros(1 << 18, np.uint32)
         self.words = self.used = 0
 
-    def _learn(self, hashes: np.ndarray, spans: list[str]) -> None:
+    def _learn(self, hashes: np.ndarray, checks: np.ndarray, spans: list[str], known: bool = True) -> None:
+        """Take up words; with ``known`` they are found by their hashes from now on."""
         # one call for all: each word ends with the only kind of id that ends a word
         flat = np.array(self.tokenizer.encode(" ".join(spans), add_special_tokens=False).ids, np.uint32)
         last = np.flatnonzero(self.ends_word[flat])
@@ -94,14 +96,19 @@ class WordIds:
             flat = np.fromiter((i for x in got for i in x), np.uint32, int(sizes.sum()))
         count = len(spans)
         while self.words + count > len(self.at):
-            self.at, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.at, self.size))
+            self.at, self.size, self.check = (np.concatenate([x, np.zeros_like(x)]) for x in (self.at, self.size, self.check))
         while self.used + len(flat) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
         new = slice(self.words, self.words + count)
         self.at[new] = self.used + np.cumsum(sizes) - sizes
         self.size[new] = sizes
+        self.check[new] = checks
         self.pool[self.used:self.used + len(flat)] = flat
         index = np.arange(self.words, self.words + count, dtype=np.int32)
+        self.words += count
+        self.used += len(flat)
+        if not known:
+            return
         self.recent.update(zip(hashes.tolist(), index.tolist()))
         if len(self.recent) > _RECENT:
             keys = np.concatenate([self.keys, np.fromiter(self.recent.keys(), np.uint64, len(self.recent))])
@@ -112,11 +119,9 @@ class WordIds:
         free = self.slot_key[slot] == 0
         self.slot_key[slot[free]], self.slot_word[slot[free]] = hashes[free], index[free]
         # two new words of one slot: the last write of both arrays is the same word
-        self.words += count
-        self.used += len(flat)
 
     def _index(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        h = span_hashes(buf, starts, ends)
+        h, check = span_hashes(buf, starts, ends), span_hashes(buf, starts, ends, 1)
         h[h == 0] = 1
         slot = (h & np.uint64(_SLOTS - 1)).astype(np.int64)
         out = self.slot_word[slot]
@@ -132,13 +137,23 @@ class WordIds:
             new = np.flatnonzero(found < 0)
             if len(new):
                 at = missed[first[new]]
-                raw = buf.tobytes()
                 base = self.words
-                self._learn(u[new], [raw[a:b].decode("latin-1") for a, b in zip(starts[at].tolist(), ends[at].tolist())])
+                self._learn(u[new], check[at], self._spans(buf, starts[at], ends[at]))
                 found[new] = np.arange(base, self.words, dtype=np.int32)
             out[missed] = found[back]
+        other = np.flatnonzero(self.check[out] != check)
+        if len(other):  # another word of the same hash holds its place
+            u, first, back = np.unique(check[other], return_index=True, return_inverse=True)
+            at, base = other[first], self.words
+            self._learn(h[at], u, self._spans(buf, starts[at], ends[at]), known=False)
+            out[other] = (base + back).astype(np.int32)
         return out
 
+    @staticmethod
+    def _spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[str]:
+        raw = buf.tobytes()
+        return [raw[a:b].decode("latin-1") for a, b in zip(starts.tolist(), ends.tolist())]
+
     def of_chunk(self, buf: np.ndarray, offs: np.ndarray):
         """(ids, offsets) of the texts of UTF-8 bytes ``buf``."""
         n = len(offs) - 1

@@ -3,6 +3,11 @@
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 _LONG = " ".join(f"w{i % 977}x{i % 13}" for i in range(6000))
 
+# words of equal length whose sums over powers of any odd number agree modulo 2^64
+_PARITY = "".join("ab"[i.bit_count() % 2] for i in range(1024))
+_MIRROR = _PARITY.translate(str.maketrans("ab", "ba"))
+_AROUND = " ".join(f"around{i}" for i in range(12))
+
 TEXTS = [
     None, "", " \t\n ", "word", "two words", "One two  three\x0bfour", "All Rights Reserved. all rights reserved",
     "Licensed under CC BY-NC 4.0.\nAll rights reserved.", "GNU General Public License general public license",
@@ -14,6 +19,7 @@ TEXTS = [
     "don't I'll we're 'tis 'LL a_b 10² <|endoftext|> ½ Ω", "Ω sigma ΣΑΣ 中文字", "zero\x00byte \x85 next",
     "a b c d e f g h i j k l m n o p q r s t u v w x y z a b c d e f g h i j k l m n o p q r s t u v w x y z",
     _LONG, _LONG + " tail", "head " + _LONG, "\n\npara one. two!\n\npara two\n", "x" * 5000, "ab " * 3000,
+    f"{_AROUND} {_PARITY} {_AROUND}", f"{_AROUND} {_MIRROR} {_AROUND}", f"x {_PARITY} y", f"x {_MIRROR} y", "\u0301", "\u0903 12",
 ]
 
 
