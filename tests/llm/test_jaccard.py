@@ -12,15 +12,15 @@ from listenlab.llm import queries
 from . import cases
 
 
-def shingles(text):
+def shingles(text, gram=3):
     low = re.sub(r"[A-Z]", lambda m: m.group().lower(), text or "")
     w = re.findall(r"[^\x20\x09-\x0D]+", low)
-    return set(zip(w, w[1:], w[2:])) if len(w) >= 3 else {tuple(w)} if w else set()
+    return {tuple(w[i:i + gram]) for i in range(len(w) - gram + 1)} if len(w) >= gram else {tuple(w)} if w else set()
 
 
-def brute(rows):
+def brute(rows, gram=3, percent=90):
     """(doc_id, size, component) of every row by comparing all pairs."""
-    sets = [shingles(t) for _, t in rows]
+    sets = [shingles(t, gram) for _, t in rows]
     root = list(range(len(rows)))
 
     def find(i):
@@ -29,7 +29,7 @@ def brute(rows):
         return i
 
     for i, j in itertools.combinations(range(len(rows)), 2):
-        if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j]):
+        if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
             root[find(j)] = find(i)
     least = {}
     for i, (d, _) in enumerate(rows):

@@ -50,7 +50,7 @@ def test_stages_match_brute_force(spark, tmp_path):
     # 2: exactly one row of every component of similar rows
     rows, n = kept, len(kept)
     kept = staged(1)
-    numbered = components_of([(i, r[1]) for i, r in enumerate(sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, str(r))))])
+    numbered = components_of([(i, r[1]) for i, r in enumerate(sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, str(r))))], 5, 80)
     ordered = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, str(r)))
     expected = [ordered[c] for i, _, c in numbered if i == c]
     assert len(expected) < n and sorted(r[0] is None for r in kept) == sorted(r[0] is None for r in expected)
