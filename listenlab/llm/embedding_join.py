@@ -4,13 +4,16 @@ Unit vectors of cosine >= c lie within squared distance 2 - 2c. After a
 random rotation their coordinates are split into blocks of a few dimensions,
 and each block gets the share of that budget that its dimensions have: a pair
 within the whole budget is within the share of one block at least. So each
-block is range-joined by itself. Along its first coordinate the block is cut
-into cells as wide as the radius of its share, where partners are in one cell
-or in adjoining ones. A pair is taken up in the first block whose share it
-keeps, so it is counted once, and is verified there on the full vectors in
-double precision.
-
-Tasks are pairs of bounded chunks of one cell and its successor, so a label,
+block is range-joined by itself. Its first coordinates, the more of them the
+larger the largest label is, cut the block into cells as wide as the radius of
+its share, where partners are in one cell or in neighbouring ones; a vector is
+at home in its cell and a guest in the neighbours before it. A task computes
+distances in its block alone, for all its pairs at once; the few that keep the
+block's share are candidates. A candidate is taken up in the first block whose
+share it keeps, so it is counted once, and is verified there on the full
+vectors in double precision.
+
+Tasks are pairs of bounded chunks of one cell with its guests, so a label,
 cell or group of near copies of any size is spread. A task hands on, per
 vector, the number of its links and the smallest id of its group within the
 task: rows grow with vectors, not with pairs. Equal vectors are joined as one
@@ -25,10 +28,11 @@ not kept; an empty table gives no rows."""
 from __future__ import annotations
 
 from functools import lru_cache
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,7 +43,11 @@ COSINE = 0.93
 BLOCK = 8
 #: Vectors of one side of a task.
 CHUNK = 2048
+#: Vectors of a label up to which cells are cut along one coordinate, and along two; beyond, along three.
+ONE, TWO = 1 << 17, 1 << 23
 _SLACK = 1e-6
+#: Of the distances that propose candidates, in single precision.
+_COARSE = 1e-4
 _KEY = ["label", "dims", "block", "cell"]
 
 
@@ -69,10 +77,11 @@ def _slabs(sizes: np.ndarray):
             yield int(dims), rows[at:at + step]
 
 
-def _cells(vectors: DataFrame, cosine: float) -> DataFrame:
-    """A row per vector and block: label, dims, block, cell, id, n, vector."""
+def _cells(vectors: DataFrame, cosine: float, along: int) -> DataFrame:
+    """A row per vector and block: label, dims, block, cell (along so many
+    coordinates, or all of a smaller block), id, n, vector."""
     schema = T.StructType([vectors.schema["label"]] + T._parse_datatype_string(
-        "dims int, block int, cell int, id long, n long, vector binary").fields)
+        "dims int, block int, cell array<int>, id long, n long, vector binary").fields)
 
     def run(batches):
         for batch in batches:
@@ -88,26 +97,37 @@ def _cells(vectors: DataFrame, cosine: float) -> DataFrame:
                 index = pa.array(rows)
                 label, ids, n = (batch.column(k).take(index) for k in (0, 2, 3))
                 for b, (part, share) in enumerate(shares(int(dims), cosine)):
-                    cell = np.floor(y[:, part.start] / (np.sqrt(share) * (1 + _SLACK))).astype(np.int32)
+                    cut = y[:, part.start:min(part.start + along, part.stop)]
+                    cell = np.floor(cut / (np.sqrt(share) * (1 + _SLACK))).astype(np.int32)
+                    cell = pa.FixedSizeListArray.from_arrays(pa.array(cell.ravel()), cell.shape[1]).cast(pa.list_(pa.int32()))
                     same = [pa.array(np.full(len(rows), v, np.int32)) for v in (dims, b)]
-                    yield pa.RecordBatch.from_arrays([label, *same, pa.array(cell), ids, n, blob], names=schema.names)
+                    yield pa.RecordBatch.from_arrays([label, *same, cell, ids, n, blob], names=schema.names)
 
     return map_arrow(vectors.select("label", "vector", "id", "n"), run, schema)
 
 
-def _tasks(cells: DataFrame, chunk: int) -> DataFrame:
-    """The rows of every task: key, i, j (chunks), guest, side. A cell's task
-    rows are its own vectors and, as guests, those of the next cell."""
-    counts = cells.groupBy(*_KEY).agg(F.count("*").alias("rows"))
-    reach = counts.unionByName(counts.withColumn("cell", F.col("cell") - 1)).groupBy(*_KEY).agg(F.sum("rows").alias("rows"))
-    chunks = reach.select(*_KEY, F.ceil(F.col("rows") / chunk).cast("int").alias("chunks"))
-    both = F.array(F.struct(F.col("cell").alias("cell"), F.lit(False).alias("guest")),
-                   F.struct((F.col("cell") - 1).alias("cell"), F.lit(True).alias("guest")))
-    sent = cells.withColumn("to", F.explode(both)).select(
+def neighbours_before(along: int) -> list[tuple[int, ...]]:
+    """Offsets of half of a cell's neighbours: the first that is not 0 is -1."""
+    return [d for d in product((-1, 0, 1), repeat=along) if next((x for x in d if x), 0) < 0]
+
+
+def _tasks(cells: DataFrame, along: int, chunk: int) -> DataFrame:
+    """The rows of every task: key, i, j (chunks), guest, second. A cell's
+    task rows are its own vectors and its guests."""
+    def moved(offset: tuple[int, ...]) -> Column:
+        # a block of fewer dimensions has fewer coordinates: what it lacks stays null
+        return F.concat_ws(",", *[(F.get("cell", F.lit(k)) + x).cast("string") for k, x in enumerate(offset)])
+
+    home = F.struct(moved((0,) * along).alias("cell"), F.lit(False).alias("guest"))
+    others = [F.struct(moved(d).alias("cell"), F.lit(True).alias("guest")) for d in neighbours_before(along)]
+    # fewer coordinates make some of these the same cell, or its own
+    to = F.array_distinct(F.filter(F.array(home, *others), lambda x: ~x["guest"] | (x["cell"] != moved((0,) * along))))
+    sent = cells.withColumn("to", F.explode(to)).select(
         "label", "dims", "block", F.col("to.cell").alias("cell"), F.col("to.guest").alias("guest"), "id", "n", "vector")
     # guests alone make no pair
-    home = counts.select(*_KEY)
-    placed = sent.join(chunks.join(home, _KEY, "left_semi"), _KEY)
+    chunks = (sent.groupBy(*_KEY).agg(F.count("*").alias("rows"), F.count_if(~F.col("guest")).alias("own")).where("own > 0")
+              .select(*_KEY, F.ceil(F.col("rows") / chunk).cast("int").alias("chunks")))
+    placed = sent.join(chunks, _KEY)
     own = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
     return (placed.withColumn("own", own)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
@@ -115,6 +135,24 @@ def _tasks(cells: DataFrame, chunk: int) -> DataFrame:
                     (F.col("own") > F.col("other")).alias("second"), "guest", "id", "n", "vector"))
 
 
+def candidates(y: np.ndarray, left: np.ndarray, right: np.ndarray, parts: list[tuple[slice, float]], allowed):
+    """Index pairs (arrays) that keep the share of the last part and of none
+    before it, among those that ``allowed`` (of a slice of left) lets pass."""
+    (part, share), near = parts[-1], y.astype(np.float32)
+    a, b = near[left][:, part], near[right][:, part]
+    reach = np.float32(share * (1 + _COARSE) + 1e-6) - (b * b).sum(axis=1)
+    for at in range(0, len(left), 512):
+        own = a[at:at + 512]
+        dense = (own * own).sum(axis=1)[:, None] - 2 * (own @ b.T) <= reach[None, :]
+        u, v = np.nonzero(dense & allowed(left[at:at + 512]))
+        for lo in range(0, len(u), 1 << 15):
+            p, q = left[at:at + 512][u[lo:lo + (1 << 15)]], right[v[lo:lo + (1 << 15)]]
+            square = (y[p] - y[q]) ** 2  # the same numbers in every task that meets this pair
+            kept = [square[:, s].sum(axis=1) <= limit * (1 + _SLACK) for s, limit in parts]
+            first = kept[-1] & ~np.logical_or.reduce([np.zeros(len(p), bool), *kept[:-1]])
+            yield p[first], q[first]
+
+
 def _joiner(cosine: float, is_float: bool):
     def join(table: pa.Table) -> pa.Table:
         dims, block = table.column("dims")[0].as_py(), table.column("block")[0].as_py()
@@ -125,30 +163,19 @@ def _joiner(cosine: float, is_float: bool):
         x = unit(raw.astype(np.float64))
         y = x @ rotation(dims)
         parts = shares(dims, cosine)[:block + 1]
-        norms = [(y[:, p] ** 2).sum(axis=1) for p, _ in parts]
         pair_of_two = table.column("i")[0].as_py() != table.column("j")[0].as_py()
         left = np.flatnonzero(~second) if pair_of_two else np.arange(len(ids))
         right = np.flatnonzero(second) if pair_of_two else left
-        links = np.zeros(len(ids), np.int64)
-        near = np.zeros((len(ids), len(ids)), bool)
-        for at in range(0, len(left), 256):
-            a = left[at:at + 256]
+
+        def allowed(a: np.ndarray) -> np.ndarray:
             ok = ~(guest[a][:, None] & guest[right][None, :])
-            if not pair_of_two:
-                ok &= a[:, None] < right[None, :]
-            for k in range(block, -1, -1):
-                p, share = parts[k]
-                d = norms[k][a][:, None] + norms[k][right][None, :] - 2.0 * (y[a][:, p] @ y[right][:, p].T)
-                inside = d <= share * (1 + _SLACK)
-                ok &= inside if k == block else ~inside
-                if not ok.any():
-                    break
-            u, v = np.nonzero(ok)
-            for lo in range(0, len(u), 1 << 15):
-                p, q = a[u[lo:lo + (1 << 15)]], right[v[lo:lo + (1 << 15)]]
-                hit = (x[p] * x[q]).sum(axis=1) >= cosine
-                p, q = p[hit], q[hit]
-                near[p, q] = near[q, p] = True
+            return ok if pair_of_two else ok & (a[:, None] < right[None, :])
+
+        near = np.zeros((len(ids), len(ids)), bool)
+        for p, q in candidates(y, left, right, parts, allowed):
+            hit = (x[p] * x[q]).sum(axis=1) >= cosine
+            p, q = p[hit], q[hit]
+            near[p, q] = near[q, p] = True
         links = near @ n
         # groups within the task, by their smallest id
         root = np.full(len(ids), -1)
@@ -167,12 +194,14 @@ def _joiner(cosine: float, is_float: bool):
     return join
 
 
-def links(vectors: DataFrame, cosine: float = COSINE, chunk: int = CHUNK) -> DataFrame:
+def links(vectors: DataFrame, cosine: float = COSINE, chunk: int = CHUNK, one: int = ONE, two: int = TWO) -> DataFrame:
     """id, links, root (one row per task) for distinct ``vectors`` (label,
     vector, id, n); links counts the other rows, n of each vector."""
     ship(vectors.sparkSession)
+    largest = vectors.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    along = 1 + (largest > one) + (largest > two)
     is_float = isinstance(vectors.schema["vector"].dataType.elementType, T.FloatType)
-    tasks = _tasks(keep(_cells(vectors, cosine), "cells"), chunk)
+    tasks = _tasks(keep(_cells(vectors, cosine, along), "cells"), along, chunk)
     return tasks.groupBy(*_KEY, "i", "j").applyInArrow(_joiner(cosine, is_float), "id long, links long, root long")
 
 

@@ -53,12 +53,41 @@ def vectors(dims):
 
 @pytest.mark.parametrize("dims, chunk", [(20, 2048), (20, 7), (3, 5)])
 def test_matches_brute_force(spark, monkeypatch, dims, chunk):
-    monkeypatch.setattr(E.links, "__defaults__", (E.COSINE, chunk))
+    monkeypatch.setattr(E.links, "__defaults__", (E.COSINE, chunk, E.ONE, E.TWO))
     rows = vectors(dims)
     got = [tuple(r) for r in E.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()]
     assert sorted(got, key=str) == sorted(brute(rows, E.COSINE), key=str)
 
 
+@pytest.mark.parametrize("dims, one, two", [(20, 10, 1 << 23), (20, 5, 10), (3, 5, 10), (9, 5, 10)])
+def test_cells_along_several_coordinates(spark, monkeypatch, dims, one, two):
+    monkeypatch.setattr(E.links, "__defaults__", (E.COSINE, 9, one, two))
+    rows = vectors(dims)
+    got = [tuple(r) for r in E.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()]
+    assert sorted(got, key=str) == sorted(brute(rows, E.COSINE), key=str)
+
+
+def test_candidates_hold_all_links_and_few_other_pairs():
+    import pyarrow.parquet as pq
+
+    held = pq.read_table("/root/testdata/sf0.1/embeddings.parquet").to_pydict()
+    x = np.array(held["embedding"], float)
+    x = E.unit(np.concatenate([x, x[:60] + np.random.default_rng(1).standard_normal((60, x.shape[1])) * 0.03]))  # and near copies
+    labels = np.array(held["label"] + held["label"][:60])
+    y, pairs, found, links = x @ E.rotation(x.shape[1]), 0, set(), set()
+    for label in np.unique(labels):
+        rows = np.flatnonzero(labels == label)
+        pairs += len(rows) * (len(rows) - 1) // 2
+        links |= {(rows[i], rows[j]) for i, j in zip(*np.nonzero(np.triu(x[rows] @ x[rows].T >= E.COSINE, 1)))}
+        parts = E.shares(x.shape[1], E.COSINE)
+        for k in range(len(parts)):
+            for p, q in E.candidates(y, rows, rows, parts[:k + 1], lambda a: a[:, None] < rows[None, :]):  # noqa: B023
+                new = set(zip(p.tolist(), q.tolist()))
+                assert not new & found  # taken up once
+                found |= new
+    assert links <= found and len(links) > 50 and len(found) < 0.1 * pairs
+
+
 def test_empty_table(spark):
     assert E.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
