@@ -105,33 +105,19 @@ def tree(text: Column) -> Column:
 
 
 def _tree(pieces: Column) -> Column:
-    hashes = F.transform(pieces, lambda p: F.struct(F.sha2(p, 256).alias("hash"), (p == "").alias("blank")))
-    empty = F.array().cast("array<struct<hash:string,first:int,paragraphs:array<string>>>")
-    zero = F.struct(empty.alias("done"), F.array().cast("array<string>").alias("open"), F.lit(0).alias("n"))
+    def sections(hashes: Column) -> Column:
+        ends = F.filter(F.transform(hashes, lambda h, i: F.when(
+            (F.get(pieces, i) == "") | (F.conv(F.substring(h, 1, 4), 16, 10).cast("int") % SECTION_PARAGRAPHS == 0) | (i + 1 == F.size(hashes)),
+            i + 1)), lambda e: e.isNotNull())
+        return _bound(ends, lambda e: F.transform(e, lambda end, k: section(hashes, F.when(k > 0, F.get(e, k - 1)).otherwise(F.lit(0)), end)))
 
-    def close(done: Column, paragraphs: Column, first: Column) -> Column:
-        return F.concat(done, F.array(F.struct(F.sha2(F.array_join(paragraphs, ""), 256).alias("hash"),
-                                               first.alias("first"), paragraphs.alias("paragraphs"))))
+    def section(hashes: Column, first: Column, end: Column) -> Column:
+        own = F.slice(hashes, first + 1, end - first)
+        return F.struct(F.sha2(F.array_join(own, ""), 256).alias("hash"), first.alias("first"), own.alias("paragraphs"),
+                        F.transform(F.slice(pieces, first + 1, end - first), _leaves).alias("leaves"))
 
-    def step(state: Column, p: Column) -> Column:
-        paragraphs = F.concat(state["open"], F.array(p["hash"]))
-        n = state["n"] + 1
-        ends = p["blank"] | (F.conv(F.substring(p["hash"], 1, 4), 16, 10).cast("int") % SECTION_PARAGRAPHS == 0)
-        closed = F.struct(close(state["done"], paragraphs, n - F.size(paragraphs)).alias("done"),
-                          F.array().cast("array<string>").alias("open"), n.alias("n"))
-        return F.when(ends, closed).otherwise(F.struct(state["done"].alias("done"), paragraphs.alias("open"), n.alias("n")))
-
-    def finish(state: Column) -> Column:
-        rest = F.when(F.size(state["open"]) > 0, close(state["done"], state["open"], state["n"] - F.size(state["open"])))
-        return F.coalesce(rest, state["done"])
-
-    def with_leaves(s: Column) -> Column:
-        leaves = F.transform(F.slice(pieces, s["first"] + 1, F.size(s["paragraphs"])), _leaves)
-        return F.struct(s["hash"].alias("hash"), s["first"].alias("first"), s["paragraphs"].alias("paragraphs"), leaves.alias("leaves"))
-
-    return _bound(F.aggregate(hashes, zero, step, finish), lambda s: F.struct(
-        F.sha2(F.array_join(F.transform(s, lambda x: x["hash"]), ""), 256).alias("root"),
-        F.transform(s, with_leaves).alias("sections")))
+    return _bound(_bound(F.transform(pieces, lambda p: F.sha2(p, 256)), sections), lambda s: F.struct(
+        F.sha2(F.array_join(F.transform(s, lambda x: x["hash"]), ""), 256).alias("root"), s.alias("sections")))
 
 
 def differing(a: Column, b: Column) -> Column:
@@ -148,6 +134,22 @@ def differing(a: Column, b: Column) -> Column:
     return F.when(a["root"] == b["root"], F.array().cast("array<struct<section:int,paragraph:int>>")).otherwise(found)
 
 
+def located(a: Column, b: Column) -> Column:
+    """Where tree ``a`` differs from ``b``: struct<paragraphs, first> with the
+    number of distinct paragraphs that ``b`` lacks and the place of the first
+    of them (from 0; null if there is none). Sections whose hash the other
+    tree holds are not opened."""
+    def whole(t: Column) -> Column:
+        return F.flatten(F.transform(t["sections"], lambda s: s["paragraphs"]))
+
+    missing = F.array_except(F.transform(a["sections"], lambda s: s["hash"]), F.transform(b["sections"], lambda s: s["hash"]))
+    opened = _bound(missing, lambda m: F.filter(a["sections"], lambda s: F.array_contains(m, s["hash"])))
+    found = F.array_except(F.flatten(F.transform(opened, lambda s: s["paragraphs"])), whole(b))
+    place = _bound(found, lambda f: F.struct(F.size(f).cast("long").alias("paragraphs"), F.when(
+        F.size(f) > 0, F.array_position(whole(a), F.get(f, F.lit(0))) - 1).alias("first")))
+    return F.when(a["root"] == b["root"], F.struct(F.lit(0).cast("long").alias("paragraphs"), F.lit(None).cast("long").alias("first"))).otherwise(place)
+
+
 def next_in_order(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with ``next_text``: the text of the next row by descending
     doc_id, and of the first row for the last.

@@ -44,8 +44,10 @@ def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     own, other, following = F.col("own"), F.col("other"), F.col("following")
     trees = docs.withColumns({"own": merkle.tree(F.col("text")), "other": merkle.tree(F.col("edited")),
                               "following": merkle.tree(F.col("next_text"))})
+    change = merkle.located(other, own)
     return trees.select(
-        "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        "doc_id", change["paragraphs"].alias("changed_paragraphs"), change["first"].alias("first_changed"),
+        F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         own["root"].alias("fingerprint"), other["root"].alias("edited_fingerprint"),
         merkle.tree_likeness(own, other).alias("near_edited"), merkle.tree_likeness(own, following).alias("near_next"))
 
@@ -77,7 +79,8 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.join(classed, "row", "left").select(
         "doc_id", *[f"n_{k.name}" for k in secrets_scan.BASE_KINDS], "base_sha256", "spans",
         F.coalesce(F.array_size("live_values"), F.lit(0)).cast("long").alias("n_live"),
-        F.coalesce(F.array_size("example_values"), F.lit(0)).cast("long").alias("n_example"))
+        F.coalesce(F.array_size("example_values"), F.lit(0)).cast("long").alias("n_example"),
+        F.coalesce("most_repositories", F.lit(0)).alias("most_repositories"))
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

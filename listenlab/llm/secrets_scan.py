@@ -57,25 +57,48 @@ KINDS = BASE_KINDS + MORE_KINDS
 _SPAN = "array<struct<start:bigint,kind_no:int,end:bigint,kind:string,value:string>>"
 
 
+#: Elements of an array whose running sums are made by one growing array.
+_RUN = 128
+
+
+def running(numbers: Column) -> Column:
+    """For each element of an array of long, the sum of those before it. Runs
+    of elements are summed first, so that no array grows with the whole."""
+    def sums(of: Column, start: Column) -> Column:
+        grown = F.aggregate(of, F.array(start), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
+        return F.slice(grown, F.lit(1), F.size(of))
+
+    def total(of: Column) -> Column:
+        return F.aggregate(of, F.lit(0).cast("long"), lambda acc, x: acc + x)
+
+    zero = F.lit(0).cast("long")
+    last = F.floor((F.size(numbers) - 1) / _RUN).cast("int")
+    runs = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda k: F.slice(numbers, k * _RUN + 1, F.lit(_RUN)))
+    many = F.element_at(F.transform(F.array(runs), lambda r: F.element_at(F.transform(
+        F.array(sums(F.transform(r, total), zero)), lambda starts: F.flatten(F.transform(r, lambda x, k: sums(x, F.get(starts, k))))), 1)), 1)
+    return F.when(F.size(numbers) <= _RUN, sums(numbers, zero)).otherwise(many)
+
+
 def _spans(text: Column, number: int, kind: Kind) -> Column:
     """The spans of one kind, in order; code points, end exclusive."""
     pattern = F.lit(kind.pattern)
-    cut = F.zip_with(F.split(text, kind.pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0)),
-                     lambda gap, hit: F.struct(F.char_length(gap).cast("long").alias("gap"), hit.alias("hit")))
-    none = F.array().cast(_SPAN)
+    hits = F.regexp_extract_all(text, pattern, F.lit(0))
+    # the piece after the last hit begins no span
+    gaps = F.transform(F.split(text, kind.pattern, -1), lambda gap: F.char_length(gap).cast("long"))
+
+    def placed(cut: Column) -> Column:
+        before = running(F.transform(cut, lambda x: x["gap"] + F.coalesce(F.char_length(x["hit"]), F.lit(0))))
+        return F.element_at(F.transform(F.array(before), lambda at: F.transform(cut, lambda x, i: span(x, F.get(at, i) + x["gap"]))), 1)
 
-    def add(state: Column, x: Column) -> Column:
-        start = state["at"] + x["gap"]
-        end = start + F.char_length(x["hit"])
+    def span(x: Column, start: Column) -> Column:
         value = F.regexp_extract(x["hit"], kind.pattern, kind.value) if kind.value else x["hit"]
-        span = F.struct(start.alias("start"), F.lit(number).alias("kind_no"), end.alias("end"),
+        return F.struct(start.alias("start"), F.lit(number).alias("kind_no"), (start + F.char_length(x["hit"])).alias("end"),
                         F.lit(kind.name).alias("kind"), value.alias("value"))
-        fits = x["hit"].isNotNull() & (F.char_length(value) >= kind.least)
-        return F.struct(F.coalesce(end, start).alias("at"),
-                        F.when(fits, F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out"))
 
-    found = F.aggregate(cut, F.struct(F.lit(0).cast("long").alias("at"), none.alias("out")), add, lambda s: s["out"])
-    return F.when(text.rlike(kind.pattern), found).otherwise(none)
+    cut = F.zip_with(gaps, hits, lambda gap, hit: F.struct(gap.alias("gap"), hit.alias("hit")))
+    found = F.element_at(F.transform(F.array(cut), placed), 1)
+    fitting = F.filter(found, lambda s: s["value"].isNotNull() & (F.char_length(s["value"]) >= kind.least))
+    return F.when(text.rlike(kind.pattern), fitting).otherwise(F.array().cast(_SPAN))
 
 
 def scan(docs: DataFrame, text: str = "text", kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
@@ -114,7 +137,9 @@ def ownership(candidates: DataFrame, least_owners: int = EXAMPLE_OWNERS) -> Data
 def with_ownership(scanned: DataFrame, row: str, owner: str, repository: str,
                    least_owners: int = EXAMPLE_OWNERS) -> DataFrame:
     """One row per ``row`` that has candidates: ``live_values`` and
-    ``example_values``, arrays of value hashes. ``scanned`` has ``values``."""
+    ``example_values``, arrays of value hashes, and ``most_repositories``, the
+    number of repositories of the most widely copied one, which tells copies
+    within one owner apart. ``scanned`` has ``values``."""
     each = scanned.where(F.size("values") > 0).select(
         F.col(row).alias("row"), F.col(owner).alias("owner"), F.col(repository).alias("repository"),
         F.explode("values").alias("value"))
@@ -122,7 +147,7 @@ def with_ownership(scanned: DataFrame, row: str, owner: str, repository: str,
     joined = each.select("row", "value").join(known, "value")
     return joined.groupBy("row").agg(
         F.collect_set(F.when(F.col("live"), F.col("value"))).alias("live_values"),
-        F.collect_set(F.when(~F.col("live"), F.col("value"))).alias("example_values"))
+        F.collect_set(F.when(~F.col("live"), F.col("value"))).alias("example_values"), F.max("n_repositories").alias("most_repositories"))
 
 
 def redacted(text: Column, spans: Column, live_values: Column, mark: str = MARK) -> Column:

@@ -38,6 +38,12 @@ def test_query_matches_brute_force(spark, tmp_path, parts):
         assert r["fingerprint"] == brute_root(text) and r["edited_fingerprint"] == brute_root(edited)
         assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
         assert (r["near_next"] == 1) >= (text == following)
+        own, new = edited.split("\n"), set(edited.split("\n")) - set(text.split("\n"))
+        first = next((i for i, p in enumerate(own) if p in new), None)
+        if edited != text and new:  # a paragraph of an unchanged section may hold nothing new, so the counts agree
+            assert (r["changed_paragraphs"], r["first_changed"]) == (len(new), first)
+        else:
+            assert (r["changed_paragraphs"], r["first_changed"]) == (0, None)
 
 
 def test_ids_that_are_null_or_repeat(spark):
@@ -81,3 +87,13 @@ def test_query_likens_the_edited_half(spark, tmp_path):
     spark.createDataFrame(rows, cases.DOCS).write.parquet(str(tmp_path / "documents.parquet"))
     got = queries.op3_document_fingerprints(spark, str(tmp_path)).collect()
     assert all(0.3 < r["near_edited"] < 0.7 and r["near_next"] < 0.1 for r in got)
+
+
+def test_trees_of_many_lines_match_brute_force(spark):
+    import time
+
+    texts = ["\n".join(f"line {i} of {n}" + "\n" * (i % 37 == 5) for i in range(n)) for n in (1, 500, 40_000)]
+    start = time.perf_counter()
+    got = spark.createDataFrame([(t,) for t in texts], "text string").select(merkle.tree(F.col("text"))["root"]).collect()
+    assert [r[0] for r in got] == [brute_root(t) for t in texts]
+    assert time.perf_counter() - start < 30  # sections by a growing array took minutes

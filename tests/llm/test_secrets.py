@@ -49,5 +49,22 @@ def test_redaction_replaces_live_values_only(spark):
     assert all(got[10 + i]["text"] == shown for i in range(4))
 
 
+def test_spans_of_texts_with_many_matches(spark, tmp_path):
+    texts = [" ".join(f"x{'é' * (i % 5)} token = abcdefghijkl{i:05d} {'0af' * (i % 9)}" for i in range(n)) for n in (1, 127, 128, 129, 256, 5000)]
+    rows = [(i, t, "en", "s1", len(t)) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, cases.DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in queries.op7_secret_scans(spark, str(tmp_path)).collect()}
+    for i, text in enumerate(texts):
+        spans = brute(text)
+        assert got[i]["spans"] == ",".join(f"{k}:{a}:{b}" for a, _, b, k in spans) and got[i]["n_assign"] == text.count("token")
+
+
+def test_copies_within_one_owner_are_told(spark, tmp_path):
+    rows = [(i, "password=copied0copied", "en", "hot", 0) for i in range(30)] + [(100, "password=single0single", "en", "hot", 0), (101, "none", "en", "hot", 0)]
+    spark.createDataFrame(rows, cases.DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: (r["n_live"], r["most_repositories"]) for r in queries.op7_secret_scans(spark, str(tmp_path)).collect()}
+    assert got[0] == (1, 30) and got[100] == (1, 1) and got[101] == (0, 0)
+
+
 def test_empty_table(spark):
     assert secrets_scan.redact(spark.createDataFrame([], cases.DOCS)).count() == 0
