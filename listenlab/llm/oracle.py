@@ -77,6 +77,29 @@ SELECT s.doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, coalesce(l.component_
 FROM sets s LEFT JOIN least l ON l.doc_id = s.doc_id
 """
 
+#: All pairs of a label; components by walking the links.
+NEAR_VECTORS = r"""
+WITH RECURSIVE held AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM held a JOIN held b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    AND list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v)) >= 0.93
+), reached AS (
+  SELECT a AS vec_id, a AS other FROM links
+  UNION
+  SELECT r.vec_id, l.b FROM reached r JOIN links l ON l.a = r.other
+), least AS (
+  SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id
+), counts AS (
+  SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a
+)
+SELECT e.vec_id, coalesce(c.n, 0) AS n_links, coalesce(l.component_id, e.vec_id) AS component_id,
+       e.vec_id = coalesce(l.component_id, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN counts c ON c.vec_id = e.vec_id LEFT JOIN least l ON l.vec_id = e.vec_id
+"""
+
 #: All anchors against all rows.
 NEGATIVES = r"""
 WITH held AS (
@@ -170,5 +193,5 @@ FROM placed p JOIN (SELECT * FROM over QUALIFY row_number() OVER (PARTITION BY r
 JOIN nodes t ON t.tree = p.tree AND t.n = 1 CROSS JOIN root
 """
 
-ORACLE: dict[str, str] = {"op6_ngram_jaccard_join": SIMILAR, "op9_substring_dedup": SUBSTRINGS, "op10_mixing": MIXING,
+ORACLE: dict[str, str] = {"op4_embedding_near_dedup": NEAR_VECTORS, "op6_ngram_jaccard_join": SIMILAR, "op9_substring_dedup": SUBSTRINGS, "op10_mixing": MIXING,
                           "op11_hard_negatives": NEGATIVES, "op12_warc": WARC, "op13_merkle_manifest": MANIFEST}
