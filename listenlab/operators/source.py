@@ -105,9 +105,13 @@ def event_type_counts(source: DataFrame) -> DataFrame:
 
 
 def duplicate_rows(source: DataFrame) -> DataFrame:
-    """Excess rows of full duplicates (NULLs group together). A group of
-    copies, however large, collapses in the map-side partial count."""
-    groups = source.groupBy(*ALL_COLUMNS).agg(cnt().alias("n")).where(F.col("n") > 1)
+    """Excess rows of full duplicates (NULLs group together). Only a hash and
+    a count per row are shuffled; whole rows are compared where a hash
+    repeats, so other rows of one hash are no duplicates. A group of copies,
+    however large, collapses in the map-side partial counts."""
+    hashed = source.withColumn("_hash", F.xxhash64(*ALL_COLUMNS))
+    repeated = hashed.groupBy("_hash").agg(cnt().alias("n")).where(F.col("n") > 1).select("_hash")
+    groups = hashed.join(repeated, "_hash", "left_semi").groupBy(*ALL_COLUMNS).agg(cnt().alias("n")).where(F.col("n") > 1)
     return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
 
 

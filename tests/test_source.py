@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF001, SF01, interactions, listen
+from conftest import SF001, SF01, interactions, listen, react
 from listenlab.operators import source
 from listenlab.sources import load_fixture, read_interactions
 
@@ -70,3 +70,17 @@ def test_source_manifest_checks_expected_rows(spark):
     assert ok[0].file_size > 0
     bad = source.source_manifest(raw, expected_rows=47_790_449).first()
     assert bad.rows_match_expected is False
+
+
+def test_duplicates_are_compared_where_hashes_repeat(spark, monkeypatch):
+    rows = [listen(1, 1, 0), listen(1, 1, 0), listen(1, 1, 0), react(1, 1, 0), react(1, 1, 0), listen(2, 1, 0), listen(1, 1, 0, ratio=float("nan")),
+            listen(1, 1, 0, ratio=float("nan")), listen(3, 1, 0, ratio=0.0), listen(3, 1, 0, ratio=-0.0), listen(1, 1, 5, length=None), listen(1, 1, 5, length=None)]
+    df = interactions(spark, rows).repartition(3)
+    assert source.duplicate_rows(df).first()[0] == 2 + 1 + 1 + 1 + 1
+    plan = source.duplicate_rows(df)._jdf.queryExecution().executedPlan().toString()
+    # before the join, hashes and counts are all that moves
+    wide = [line for line in plan.split("\n") if "hashpartitioning(uid" in line]
+    assert len(wide) == 1 and "LeftSemi" in plan.split(wide[0])[1] and "LeftSemi" not in plan.split(wide[0])[0]
+    # rows that only share a hash are no duplicates
+    monkeypatch.setattr(source.F, "xxhash64", lambda *_: source.F.lit(7))
+    assert source.duplicate_rows(df).first()[0] == 6
