@@ -1,3 +1,4 @@
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -39,6 +40,41 @@ def test_every_template_is_found_by_its_own_text(spark):
         assert max(p["score"] for p in r["licenses"] if p["label"] == r["label"]) > 0.99
 
 
+def all_places(text, idf):
+    """Every place of every template, by comparing its key phrase at each word."""
+    words, out = brute(text, {})[0], []
+    for t in licenses.TEMPLATES:
+        for i in range(len(words)):
+            if tuple(words[i:i + t.key_size]) == t.key:
+                first = i - t.key_at
+                same = [idf[w] for k, w in enumerate(t.words) if 0 <= first + k < len(words) and words[first + k] == w]
+                out.append((t.label, i, t.base, round(sum(same) / sum(idf[w] for w in t.words), 9)))
+    return sorted(out)
+
+
+def test_added_labels_and_scores_match_brute_force(spark):
+    import math
+
+    rng = random.Random(4)
+    texts = [t for _, t, *_ in cases.rows()] + [" ".join(t.words) for t in licenses.TEMPLATES]
+    for _ in range(120):  # phrases cut short, repeated, mixed and overlapping
+        parts = [rng.choice(licenses.TEMPLATES).words for _ in range(4)]
+        texts.append(" ".join(w for p in parts for w in p[rng.randrange(3):rng.randrange(4, 30)]).upper())
+    vocabulary = {w for t in licenses.TEMPLATES for w in t.words}
+    held = [set(brute(t, {})[0]) for t in texts]
+    idf = {w: math.log((1 + len(texts)) / (1 + sum(w in h for h in held))) + 1.0 for w in vocabulary}
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, text string").repartition(3)
+    got = {r["n"]: sorted((p["label"], p["start"], p["base"], round(p["score"], 9)) for p in r["licenses"]) for r in licenses.scan(df).collect()}
+    assert got == {i: all_places(t, idf) for i, t in enumerate(texts)}
+    assert {p[0] for places in got.values() for p in places} == {t.label for t in licenses.TEMPLATES}
+
+
+def test_the_plan_has_one_size_for_any_number_of_templates(spark):
+    df = spark.createDataFrame([("x",)], "text string")
+    size = lambda n: licenses.scan(df, templates=licenses.TEMPLATES[:n])._jdf.queryExecution().analyzed().toString().count("lambdafunction")
+    assert size(3) == size(len(licenses.TEMPLATES))
+
+
 def test_empty_table_and_other_columns(spark):
     empty = licenses.scan(spark.createDataFrame([], "text string, words string, n long"))
     assert empty.columns == ["text", "words", "n", "n_words", "licenses"] and empty.count() == 0
