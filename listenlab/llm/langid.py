@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -210,13 +210,17 @@ class Model:
             out[got] = weight[got] + self.logp[order - 1][at[hit]]
             rest = open_[~hit]
             if order > 1 and len(rest):
-                at, hit = _find(self.grams[order - 2], _xxhash64((keys[rest] & mask) >> np.uint64(16)))
+                context = (keys[rest] & mask) >> np.uint64(16)
+                at, hit = _find(self.grams[order - 2], _xxhash64(context))
                 weight[rest[hit]] += self.backoff[order - 2][at[hit]]
+                weight[rest[~hit & (context == 0)]] += self.start.get(order, 0.0)
             elif len(rest):
                 out[rest] = weight[rest] + self.unseen
         return out
 
     unseen: float = 0.0
+    #: Back-off weights, by order, of the gaps before a text, which are a context but end no gram.
+    start: dict[int, float] = field(default_factory=dict)
 
 
 def _find(sorted_: np.ndarray, wanted: np.ndarray):
@@ -254,6 +258,7 @@ def estimate(lang: str, grams: np.ndarray, counts: np.ndarray) -> Model:
         lambdas.append((context, share))
     out = Model(lang, [], [], [])
     out.unseen = float(np.log(lambdas[0][1][0] * _UNIFORM))
+    out.start = {order: float(np.log(share[0])) for order, (context, share) in enumerate(lambdas, 1) if order > 2 and context[0] == 0}
     for order, (keys, _) in enumerate(levels, 1):
         backoff = np.zeros(len(keys))
         if order < ORDER:
@@ -265,8 +270,8 @@ def estimate(lang: str, grams: np.ndarray, counts: np.ndarray) -> Model:
         hashed = _xxhash64(keys)
         rank = np.argsort(hashed)
         out.grams.append(hashed[rank])
-        out.logp.append(np.log(probability[order - 1])[rank].astype(np.float32))
-        out.backoff.append(backoff[rank].astype(np.float32))
+        out.logp.append(np.log(probability[order - 1])[rank])
+        out.backoff.append(backoff[rank])
     return out
 
 
@@ -295,6 +300,10 @@ class Tables:
         self.unseen = [0.0] * len(self.names)
         for r in contexts[0].collect():  # one row per language
             self.unseen[r["lang"]] = float(np.log(r["share"] * _UNIFORM))
+        self.start = [dict() for _ in self.names]
+        for order in range(3, ORDER + 1):
+            for r in contexts[order - 1].where("context = 0").collect():  # one row per language
+                self.start[r["lang"]][order] = float(np.log(r["share"]))
         self.levels, lower = [], None
         for order, level in enumerate(counts, 1):
             level = level.join(contexts[order - 1], ["lang", "context"])
@@ -335,7 +344,8 @@ class Tables:
         def value(i: int) -> Column:
             out = F.coalesce(F.col("own1")[i]["logp"], F.lit(self.unseen[i]))
             for order in range(2, ORDER + 1):
-                weight = F.coalesce(F.col(f"before{order - 1}")[i]["backoff"], F.lit(0.0))
+                begins = _before(_last(F.col("gram"), order), order) == 0
+                weight = F.coalesce(F.col(f"before{order - 1}")[i]["backoff"], F.when(begins, F.lit(self.start[i].get(order, 0.0))), F.lit(0.0))
                 out = F.coalesce(F.col(f"own{order}")[i]["logp"], weight + out)
             return out
 
