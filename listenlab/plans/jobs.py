@@ -23,6 +23,7 @@ from __future__ import annotations
 import json
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
@@ -78,11 +79,10 @@ def _write_mart(df: DataFrame, path: str, mart: str, **more) -> dict:
 def _measures(spark: SparkSession, path: str, mart: str) -> dict:
     """The measures from the mart's write; by a scan where it was not written
     here, or its files are others by now."""
-    table = _read(spark, path, mart, "Build the marts first.")
     kept = store.read_json(spark, _p(path, MEASURES_FILE))
     if kept and kept["files"] == store.fingerprint(spark, path):
         return kept["measures"]
-    return metrics.measured(table, mart).first().asDict()
+    return metrics.measured(_read(spark, path, mart, "Build the marts first."), mart).first().asDict()
 
 
 # --- stage -------------------------------------------------------------------
@@ -204,7 +204,7 @@ def validate_all_marts(spark, stage_path: str, mart_dir: str) -> dict[str, bool]
     version = store.current(spark, stage_path)
     if version is None:
         raise FileNotFoundError(f"stage not found at {stage_path}. Run prepare_events first.")
-    found = {name: _measures(spark, _p(mart_dir, file), name) for name, file in MART_FILES.items()}
+    found = _concurrently({name: partial(_measures, spark, _p(mart_dir, file), name) for name, file in MART_FILES.items()})
     return checks.raise_unless_all(metrics.checks_of(version.facts["totals"], found))
 
 

@@ -37,7 +37,7 @@ def clear(spark: SparkSession) -> None:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def materialize_observed(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, dict]:
