@@ -137,16 +137,18 @@ def _tasks(cells: DataFrame, along: int, chunk: int) -> DataFrame:
 
 def candidates(y: np.ndarray, left: np.ndarray, right: np.ndarray, parts: list[tuple[slice, float]], allowed):
     """Index pairs (arrays) that keep the share of the last part and of none
-    before it, among those that ``allowed`` (of a slice of left) lets pass."""
+    before it, among those that ``allowed`` (of such arrays) lets pass."""
     (part, share), near = parts[-1], y.astype(np.float32)
     a, b = near[left][:, part], near[right][:, part]
     reach = np.float32(share * (1 + _COARSE) + 1e-6) - (b * b).sum(axis=1)
     for at in range(0, len(left), 512):
         own = a[at:at + 512]
         dense = (own * own).sum(axis=1)[:, None] - 2 * (own @ b.T) <= reach[None, :]
-        u, v = np.nonzero(dense & allowed(left[at:at + 512]))
+        u, v = np.divmod(np.flatnonzero(dense), len(right))
         for lo in range(0, len(u), 1 << 15):
             p, q = left[at:at + 512][u[lo:lo + (1 << 15)]], right[v[lo:lo + (1 << 15)]]
+            fine = allowed(p, q)
+            p, q = p[fine], q[fine]
             square = (y[p] - y[q]) ** 2  # the same numbers in every task that meets this pair
             kept = [square[:, s].sum(axis=1) <= limit * (1 + _SLACK) for s, limit in parts]
             first = kept[-1] & ~np.logical_or.reduce([np.zeros(len(p), bool), *kept[:-1]])
@@ -167,9 +169,9 @@ def _joiner(cosine: float, is_float: bool):
         left = np.flatnonzero(~second) if pair_of_two else np.arange(len(ids))
         right = np.flatnonzero(second) if pair_of_two else left
 
-        def allowed(a: np.ndarray) -> np.ndarray:
-            ok = ~(guest[a][:, None] & guest[right][None, :])
-            return ok if pair_of_two else ok & (a[:, None] < right[None, :])
+        def allowed(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+            ok = ~(guest[p] & guest[q])
+            return ok if pair_of_two else ok & (p < q)
 
         near = np.zeros((len(ids), len(ids)), bool)
         for p, q in candidates(y, left, right, parts, allowed):
